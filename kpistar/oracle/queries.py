@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from kpistar.oracle import g2
+from kpistar.oracle import g1, g2
 from kpistar.oracle.mapping import with_clause
 
 _W2 = with_clause(g2.ALL_CTES)
+_W1 = with_clause(g1.ALL_CTES)
+
+
+def _g1(body: str) -> str:
+    return f"{_W1}\n{body.strip()}"
 
 
 def _g2(body: str) -> str:
@@ -32,4 +37,12 @@ ORACLE: dict[str, str] = {
     "report_kpi": _g2(g2.REPORT_KPI),
     "report_kpi_brand": _g2(g2.REPORT_KPI_BRAND),
     "report_education_star": _g2(g2.EDUCATION_STAR),
+    "remote_programs": _g1("SELECT * FROM g1_programs"),
+    "filter_like_or": _g1("SELECT * FROM g1_club_this"),
+    "filter_like_and": _g1("SELECT * FROM g1_emo_prev"),
+    "dim_program_salons": _g1("SELECT * FROM g1_program_salons"),
+    "remote_payments_flag": _g1("SELECT * FROM g1_paid"),
+    "fact_booking": _g1("SELECT * FROM g1_booking"),
+    "report_legacy_kpi": _g1(g1.LEGACY_KPI),
+    "report_legacy_salon": _g1(g1.LEGACY_SALON),
 }

@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kpistar.config import ReportParams
-from kpistar.plans import dims, facts, reports
+from kpistar.plans import dims, facts, legacy, reports
 from kpistar.sources.domain import Domain
+from kpistar.sources.legacy import LegacyDomain
 
 P = ReportParams()
 
@@ -26,6 +27,20 @@ def domain(spark: SparkSession, sf_dir: str) -> Domain:
     return _DOMAINS[key]
 
 
+def legacy_domain(spark: SparkSession, sf_dir: str) -> LegacyDomain:
+    key = ("g1", id(spark), sf_dir)
+    if key not in _DOMAINS:
+        _DOMAINS[key] = LegacyDomain.from_sf(spark, sf_dir)
+    return _DOMAINS[key]
+
+
+def _g1(fn) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(legacy_domain(spark, sf_dir))
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def _g2(fn) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(domain(spark, sf_dir))
@@ -58,4 +73,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_role_roster": _g2(reports.role_roster),
     "join_anti_orphans": _g2(reports.orphan_seminars),
     "scan_dump": _g2(reports.event_dump),
+    # legacy single-brand datasets and reports
+    "remote_programs": _g1(legacy.programs),
+    "filter_like_or": _g1(lambda ld: legacy.club_programs(ld, P.program_years[1])),
+    "filter_like_and": _g1(lambda ld: legacy.emotion_programs(ld, P.program_years[0])),
+    "dim_program_salons": _g1(legacy.program_salons),
+    "remote_payments_flag": _g1(legacy.payments_flag),
+    "fact_booking": _g1(legacy.booking),
+    "report_legacy_kpi": _g1(legacy.legacy_kpi_report),
+    "report_legacy_salon": _g1(legacy.legacy_salon_report),
 }
