@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from kpistar.oracle import g1, g2
+from kpistar.oracle import blocks, g1, g2
 from kpistar.oracle.mapping import with_clause
 
-_W2 = with_clause(g2.ALL_CTES)
+_W2 = with_clause(g2.ALL_CTES + [blocks.ROWS])
 _W1 = with_clause(g1.ALL_CTES)
 
 
@@ -46,3 +46,6 @@ ORACLE: dict[str, str] = {
     "report_legacy_kpi": _g1(g1.LEGACY_KPI),
     "report_legacy_salon": _g1(g1.LEGACY_SALON),
 }
+
+ORACLE.update({k: _g2(v) for k, v in blocks.G2_BLOCKS.items()})
+ORACLE.update({k: _g1(v) for k, v in blocks.G1_BLOCKS.items()})

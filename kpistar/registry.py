@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kpistar.config import ReportParams
-from kpistar.plans import dims, facts, legacy, reports
+from kpistar.plans import blocks, dims, facts, legacy, reports
 from kpistar.sources.domain import Domain
 from kpistar.sources.legacy import LegacyDomain
 
@@ -83,3 +83,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_legacy_kpi": _g1(legacy.legacy_kpi_report),
     "report_legacy_salon": _g1(legacy.legacy_salon_report),
 }
+
+_G2_BLOCKS = ["scan_alias", "case_simple_decode", "project_rename", "project_star", "project_qualified_star",
+              "project_constants", "kpi_class", "string_concat_operator", "filter_time_range", "filter_year_in",
+              "filter_eq_code", "filter_not_like", "flag_presence", "join_left_dim", "join_left_fanout",
+              "join_left_composite", "join_role_playing", "join_bridge", "audit_fanout", "distinct_rows",
+              "window_first_row", "window_row_number", "window_count", "window_running_count",
+              "window_dedup_person", "window_presence_flag", "window_sum_case", "sort_total", "sort_topn",
+              "string_concat_function", "date_extract", "date_format_dmy", "date_timezone_shift",
+              "math_discount", "case_place"]
+_G1_BLOCKS = ["tenant_filter", "filter_or_ranges", "predicate_not_in_null", "case_trip", "case_nested",
+              "join_left_guarded", "join_left_expr_key", "scalar_subquery_lookup", "agg_group_count",
+              "date_interval_days", "math_base_price", "coalesce_chain"]
+QUERIES.update({k: _g2(getattr(blocks, k)) for k in _G2_BLOCKS})
+QUERIES.update({k: _g1(getattr(blocks, k)) for k in _G1_BLOCKS})
