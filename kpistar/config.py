@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # Tenant (database) name -> brand id, as used by the legacy
 # single-brand reports.
@@ -29,8 +29,7 @@ class ReportParams:
     # Name of the commercial macro-region excluded as test data.
     excluded_mreg: str = "ASIA"
     # Size bound (bytes) below which a dimension side may be broadcast.
-    broadcast_limit: int = 64 * 1024 * 1024
-    extra: dict = field(default_factory=dict)
+    broadcast_limit: int = 32 * 1024 * 1024
 
     @property
     def tenant_brand_id(self) -> int | None:

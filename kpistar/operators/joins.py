@@ -51,3 +51,13 @@ def anti_orphans(left: DataFrame, right: DataFrame, left_key: str, right_key: st
 def null_safe_key(col: Column) -> Column:
     """Join key helper for keys where NULL must never match."""
     return F.when(col.isNotNull(), col)
+
+
+def fact(df: DataFrame) -> DataFrame:
+    """Mark a fact-grain join side: never broadcast, shuffle both sides (sort-merge).
+
+    Catalyst's size estimate of a parquet scan is its compressed file size, so
+    a fact table can look small enough to broadcast; the hint keeps the join a
+    shuffle join whatever the estimate says.
+    """
+    return df.hint("merge")

@@ -15,9 +15,9 @@ from kpistar.config import ReportParams
 from kpistar.functions import (at_report_tz, base_price, coalesce_case, decode, discount_due, dmy,
                                interval_days, is_true, period_filter, pg_concat, pg_concat_op, pg_int,
                                presence_flag, when_present, year_ranges)
-from kpistar.operators.joins import anti_orphans, bounded_broadcast, lookup
+from kpistar.operators.joins import anti_orphans, bounded_broadcast, fact, lookup
 from kpistar.operators.ordering import pg_asc
-from kpistar.operators.windows import emit_once, event_window
+from kpistar.operators.skewsafe import first_and_totals, running_count_range, running_sum
 from kpistar.plans import dims, legacy
 from kpistar.plans.dims import ROLE_BY_LEVEL, TEAM_BY_STRUCTURE
 from kpistar.plans.reports import kpi_brand_report, kpi_class as kpi_class_expr
@@ -25,6 +25,10 @@ from kpistar.plans.reports import kpi_brand_report, kpi_class as kpi_class_expr
 P = ReportParams()
 
 
+def emit_once_flag(flag: str, value) -> F.Column:
+    return F.when(F.col(flag), value)
+
+
 def _pref(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{prefix}{c}") for c in df.columns])
 
@@ -45,7 +49,7 @@ def tenant_filter(ld, params: ReportParams = P) -> DataFrame:
     sln = ld.salons.select(F.col("id").alias("salon_id"))
     prg = legacy.programs(ld, params).select(
         F.col("salon_id").alias("p_salon"), "brand", "name_prog", "status")
-    j = sln.join(prg, (F.col("salon_id") == F.col("p_salon")) & (F.col("brand") == F.lit(params.tenant)), "left")
+    j = sln.join(fact(prg), (F.col("salon_id") == F.col("p_salon")) & (F.col("brand") == F.lit(params.tenant)), "left")
     return j.select("salon_id", "name_prog", "status")
 
 
@@ -192,7 +196,7 @@ def join_left_fanout(d) -> DataFrame:
     """Event ⟕ participations, 1:N (events without participants keep one NULL row)."""
     e = d.seminar_events.select("id")
     p = d.participations.select(F.col("id").alias("prt_id"), "seminar_event_id", "user_id")
-    return e.join(p, e.id == p.seminar_event_id, "left").select(F.col("id").alias("event_id"), "prt_id", "user_id")
+    return e.join(fact(p), e.id == p.seminar_event_id, "left").select(F.col("id").alias("event_id"), "prt_id", "user_id")
 
 
 def join_left_composite(d) -> DataFrame:
@@ -230,7 +234,7 @@ def join_left_expr_key(ld, params: ReportParams = P) -> DataFrame:
            .select(F.col("salon_id").alias("p_salon"), "brand_id", "name_prog", "status", picked.alias("picked")))
     key = F.coalesce(F.col("salon_id"), F.col("mng_id"))
     j = (u.join(_bb(mng), F.col("salon_id").isNull() & (F.col("id") == F.col("salon_manager_id")), "left")
-         .join(spp, (key == F.col("p_salon")) & (F.col("brand_id") == F.lit(params.tenant_brand_id))
+         .join(fact(spp), (key == F.col("p_salon")) & (F.col("brand_id") == F.lit(params.tenant_brand_id))
                & F.col("picked").isin(*legacy.SALON_CLUB_STATUSES), "left"))
     return j.select("id", key.alias("salon_key"), F.col("status").alias("club"))
 
@@ -242,7 +246,7 @@ def join_role_playing(d) -> DataFrame:
     p = d.participations.select(F.col("id").alias("prt_id"), "seminar_event_id", F.col("user_id").alias("p_user"))
     pu = _pref(d.users, "pu_")
     j = (e.join(_bb(edu), F.col("educator_id") == F.col("edu_id"), "left")
-         .join(p, F.col("id") == F.col("seminar_event_id"), "left")
+         .join(fact(p), F.col("id") == F.col("seminar_event_id"), "left")
          .join(_bb(pu), F.col("p_user") == F.col("pu_id"), "left"))
     return j.select(F.col("id").alias("event_id"), "prt_id",
                     pg_concat_op(F.col("edu_first_name"), " ", F.col("edu_last_name")).alias("educator_name"),
@@ -285,7 +289,7 @@ def audit_fanout(d, params: ReportParams = P) -> DataFrame:
     e = d.seminar_events.where(period_filter(F.col("started_at"), params.period, params.report_tz)).select("id")
     p = d.participations.select(F.col("id").alias("prt_id"), "seminar_event_id", "user_id")
     per_user = d.users_salons.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_salons"))
-    j = (e.join(p, F.col("id") == F.col("seminar_event_id"), "left")
+    j = (e.join(fact(p), F.col("id") == F.col("seminar_event_id"), "left")
          .join(_bb(per_user.withColumnRenamed("user_id", "m_user")), F.col("user_id") == F.col("m_user"), "left"))
     return (j.groupBy(F.col("id").alias("event_id"))
             .agg(F.count("prt_id").alias("participation_rows"),
@@ -300,7 +304,7 @@ def agg_group_count(ld, params: ReportParams = P) -> DataFrame:
     s = ld.seminars.where(period_filter(F.col("started_at"), params.legacy_salon_period, "UTC")).select("id", "started_at")
     smu = ld.seminar_users.select(F.col("seminar_id"), F.col("user_id").alias("smu_user"))
     u = ld.users.select(F.col("id").alias("usr_id"), F.col("full_name"))
-    j = (s.join(smu, F.col("id") == F.col("seminar_id"), "left")
+    j = (s.join(fact(smu), F.col("id") == F.col("seminar_id"), "left")
          .join(_bb(u), F.col("smu_user") == F.col("usr_id"), "left"))
     return (j.groupBy(F.col("id").alias("smr_id"), "started_at", "usr_id", "full_name")
             .agg(F.count("usr_id").alias("users_count")))
@@ -318,60 +322,58 @@ def _event_rows(d, params: ReportParams = P) -> DataFrame:
         F.col("id").alias("event_id"), "started_at", "seminar_id")
     p = d.participations.select(F.col("id").alias("prt_id"), "seminar_event_id", "user_id", "discount_id")
     us = d.users_salons.select(F.col("user_id").alias("m_user"), "salon_id")
-    return (e.join(p, F.col("event_id") == F.col("seminar_event_id"), "left")
+    return (e.join(fact(p), F.col("event_id") == F.col("seminar_event_id"), "left")
             .join(_bb(us), F.col("user_id") == F.col("m_user"), "left"))
 
 
 ROW_ORDER = ["prt_id", "salon_id"]
 
 
+def _totals(j: DataFrame, aggs: dict, part=("event_id",)) -> DataFrame:
+    return first_and_totals(j, list(part), ROW_ORDER, aggs, "_first")
+
+
 def window_first_row(d) -> DataFrame:
     """Event values emitted on the event's first row only (total order)."""
     j = _event_rows(d)
     smr = d.seminars.select(F.col("id").alias("s_id"), "duration")
-    j = j.join(_bb(smr), F.col("seminar_id") == F.col("s_id"), "left")
-    rn = F.row_number().over(event_window(["event_id"], ROW_ORDER))
-    return j.select("event_id", "prt_id", "salon_id", emit_once(rn, F.col("duration")).alias("smr_duration"),
-                    emit_once(rn, F.col("event_id")).alias("uniq_smr_id"))
+    j = _totals(j.join(_bb(smr), F.col("seminar_id") == F.col("s_id"), "left"), {})
+    return j.select("event_id", "prt_id", "salon_id", emit_once_flag("_first", F.col("duration")).alias("smr_duration"),
+                    emit_once_flag("_first", F.col("event_id")).alias("uniq_smr_id"))
 
 
 def window_row_number(d) -> DataFrame:
-    """``row_number() OVER (PARTITION BY event ORDER BY participation)``."""
-    j = _event_rows(d)
-    return j.select("event_id", "prt_id", "salon_id",
-                    F.row_number().over(event_window(["event_id"], ROW_ORDER)).alias("rn"))
+    """``row_number() OVER (PARTITION BY event ORDER BY participation)``
+    as a bucketed running count (the order is unique inside an event)."""
+    j = _event_rows(d).withColumn("_one", F.lit(1))
+    j = running_sum(j, ["event_id"], ROW_ORDER, "_one", "rn")
+    return j.select("event_id", "prt_id", "salon_id", F.col("rn").cast("int").alias("rn"))
 
 
 def window_count(d) -> DataFrame:
     """Joined-row counts per event (attendees, client salons), emitted once."""
-    j = _event_rows(d)
-    rn = F.row_number().over(event_window(["event_id"], ROW_ORDER))
-    w = event_window(["event_id"])
-    return j.select("event_id", "prt_id", "salon_id",
-                    emit_once(rn, F.count("user_id").over(w)).alias("users_count"),
-                    emit_once(rn, F.count("salon_id").over(w)).alias("clients_count"))
+    j = _totals(_event_rows(d), {"_users": F.count("user_id"), "_clients": F.count("salon_id")})
+    return j.select("event_id", "prt_id", "salon_id", emit_once_flag("_first", F.col("_users")).alias("users_count"),
+                    emit_once_flag("_first", F.col("_clients")).alias("clients_count"))
 
 
 def window_running_count(d) -> DataFrame:
     """Running count, default RANGE frame: membership ties on a participation share it."""
-    j = _event_rows(d)
-    return j.select("event_id", "prt_id", "salon_id",
-                    F.count("user_id").over(event_window(["event_id"], ["prt_id"])).alias("user_num"))
+    j = running_count_range(_event_rows(d), ["event_id"], "prt_id", "user_id", "user_num")
+    return j.select("event_id", "prt_id", "salon_id", "user_num")
 
 
 def window_dedup_person(d) -> DataFrame:
     """Participant id emitted once per (event, participant); two partition columns."""
-    j = _event_rows(d)
-    rn = F.row_number().over(event_window(["event_id", "user_id"], ROW_ORDER))
-    return j.select("event_id", "prt_id", "salon_id", emit_once(rn, F.col("user_id")).alias("user_id"))
+    j = _totals(_event_rows(d), {}, part=("event_id", "user_id"))
+    return j.select("event_id", "prt_id", "salon_id", emit_once_flag("_first", F.col("user_id")).alias("user_id"))
 
 
 def window_presence_flag(d) -> DataFrame:
     """W8/M5: 'attend' when the event has any participant row, else 'no_users'."""
-    j = _event_rows(d)
-    cnt = F.count("user_id").over(event_window(["event_id"]))
+    j = _totals(_event_rows(d), {"_users": F.count("user_id")})
     return j.select("event_id", "prt_id", "salon_id",
-                    F.when(cnt > 0, "attend").otherwise("no_users").alias("status_seminar_users"))
+                    F.when(F.col("_users") > 0, "attend").otherwise("no_users").alias("status_seminar_users"))
 
 
 def window_sum_case(d) -> DataFrame:
@@ -380,11 +382,11 @@ def window_sum_case(d) -> DataFrame:
     smr = d.seminars.select(F.col("id").alias("s_id"), "cost")
     dsc = d.discounts.select(F.col("id").alias("d_id"), "percent_value")
     j = (j.join(_bb(smr), F.col("seminar_id") == F.col("s_id"), "left")
-         .join(dsc, F.col("discount_id") == F.col("d_id"), "left"))
-    due = discount_due(F.col("cost"), F.col("percent_value"))
-    rn = F.row_number().over(event_window(["event_id"], ROW_ORDER))
-    return j.select("event_id", "prt_id", "salon_id", due.alias("user_must_pay"),
-                    emit_once(rn, F.sum(due).over(event_window(["event_id"]))).alias("smr_paid"))
+         .join(_bb(dsc), F.col("discount_id") == F.col("d_id"), "left"))
+    j = j.withColumn("_due", discount_due(F.col("cost"), F.col("percent_value")))
+    j = _totals(j, {"_paid": F.sum("_due")})
+    return j.select("event_id", "prt_id", "salon_id", F.col("_due").alias("user_must_pay"),
+                    emit_once_flag("_first", F.col("_paid")).alias("smr_paid"))
 
 
 # ---------------------------------------------------------- sorting
@@ -423,7 +425,7 @@ def date_interval_days(ld) -> DataFrame:
     """Whole days between start and booking, truncated toward zero, and their label."""
     s = ld.seminars.select(F.col("id").alias("smr_id"), "started_at")
     b = legacy.booking(ld).select("seminar_id", "master_id", "booking_at")
-    j = s.join(b, F.col("smr_id") == F.col("seminar_id"))
+    j = s.join(fact(b), F.col("smr_id") == F.col("seminar_id"))
     days = interval_days(F.col("started_at"), F.col("booking_at"))
     return j.select("smr_id", "master_id", "booking_at", days.alias("prebooking_day"),
                     F.when(days == 0, "on_seminar").when(days < 0, "after_seminar")
@@ -453,9 +455,9 @@ def math_discount(d) -> DataFrame:
     e = d.seminar_events.select(F.col("id").alias("e_id"), "seminar_id")
     smr = d.seminars.select(F.col("id").alias("s_id"), "cost")
     dsc = d.discounts.select(F.col("id").alias("d_id"), "percent_value")
-    j = (p.join(e, F.col("seminar_event_id") == F.col("e_id"), "left")
+    j = (p.join(fact(e), F.col("seminar_event_id") == F.col("e_id"), "left")
          .join(_bb(smr), F.col("seminar_id") == F.col("s_id"), "left")
-         .join(dsc, F.col("discount_id") == F.col("d_id"), "left"))
+         .join(fact(dsc), F.col("discount_id") == F.col("d_id"), "left"))
     return j.select("prt_id", "cost", "percent_value", pg_int(F.col("percent_value")).alias("percent_int"),
                     discount_due(F.col("cost"), F.col("percent_value")).alias("user_must_pay"))
 

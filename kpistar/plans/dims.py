@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from kpistar.config import ReportParams
 from kpistar.functions import decode, pg_concat_op, presence_flag
-from kpistar.operators.joins import bounded_broadcast
+from kpistar.operators.joins import bounded_broadcast, fact
+from kpistar.operators.materialize import dimension
 
 P = ReportParams()
 
@@ -31,6 +32,7 @@ def _bb(df: DataFrame, params: ReportParams = P) -> DataFrame:
 
 
 # ------------------------------------------------------------------ staff
+@dimension
 def internal_staff(d) -> DataFrame:
     """Region x staff member (region ⟕ post-brand ⟕ post ⟕ user)."""
     rgn = d.regions.alias("rgn")
@@ -72,6 +74,7 @@ def _with_ancestors(d, internal: DataFrame) -> DataFrame:
     return inte
 
 
+@dimension
 def staff_hierarchy(d) -> DataFrame:
     """Staff with N+1/N+2/N+3 managers chosen by the staff member's own level.
 
@@ -97,6 +100,7 @@ def staff_hierarchy(d) -> DataFrame:
     return out.distinct()
 
 
+@dimension
 def staff_hierarchy_fixed(d) -> DataFrame:
     """Managers exactly 1/2/3 generations up whatever the level; no brand code."""
     inte = _with_ancestors(d, internal_staff(d))
@@ -109,6 +113,7 @@ def staff_hierarchy_fixed(d) -> DataFrame:
 
 
 # -------------------------------------------------------------- geography
+@dimension
 def region_chain(d) -> DataFrame:
     """Commercial territory -> region -> macro-region, plus education regions.
 
@@ -137,6 +142,7 @@ def region_chain(d) -> DataFrame:
         F.col("rgn2_edu.id").alias("edu_mreg_id"), F.col("rgn2_edu.name").alias("edu_mreg_name"))
 
 
+@dimension
 def salons_regions(d, key: str = "id", brand_join: bool = False) -> DataFrame:
     """Salon x its commercial territories (and the territory's brand).
 
@@ -159,6 +165,7 @@ def salons_regions(d, key: str = "id", brand_join: bool = False) -> DataFrame:
         "edu_reg_id", "edu_reg_name", "edu_mreg_id", "edu_mreg_name")
 
 
+@dimension
 def training_centers_regions(d) -> DataFrame:
     """Training centre x education region x brand code."""
     trc = d.training_centers.alias("trc")
@@ -221,6 +228,7 @@ def _event_brand_keys(d, key: str) -> DataFrame:
             .select(key, "brn_code").distinct())
 
 
+@dimension
 def educators(d) -> DataFrame:
     """Distinct educator x seminar brand code x name and managers."""
     keys = _event_brand_keys(d, "educator_id").where(F.col("educator_id").isNotNull())
@@ -238,6 +246,7 @@ def educators(d) -> DataFrame:
     ).distinct()
 
 
+@dimension
 def places(d) -> DataFrame:
     """Venue dimension = training centres UNION ALL salons used as venues.
 
@@ -270,6 +279,7 @@ def places(d) -> DataFrame:
 
 
 # ----------------------------------------------------------- side facts
+@dimension
 def nobrand_salons(d, params: ReportParams = P) -> DataFrame:
     """Distinct (salon, macro-region) of participants' salons of another brand.
 
@@ -282,7 +292,7 @@ def nobrand_salons(d, params: ReportParams = P) -> DataFrame:
     sme = d.seminar_events.select(F.col("id").alias("e_id"), F.col("seminar_id").alias("e_seminar"))
     smr = d.seminars.select(F.col("id").alias("s_id"), F.col("brand_id").alias("s_brand"))
     brn = d.brands.select(F.col("id").alias("b_id"), F.col("name").alias("brn_name"))
-    user_brand = (prt.join(sme, prt.p_event == sme.e_id)
+    user_brand = (prt.join(fact(sme), prt.p_event == sme.e_id)
                   .join(_bb(smr), F.col("e_seminar") == smr.s_id)
                   .join(_bb(brn), F.col("s_brand") == brn.b_id)
                   .select("p_user", "brn_name").distinct())
@@ -298,12 +308,14 @@ def nobrand_salons(d, params: ReportParams = P) -> DataFrame:
             .select("salon_id", "com_mreg_name").distinct())
 
 
-def payments_usr(d) -> DataFrame:
+def payments_usr(d, with_id: bool = False) -> DataFrame:
     """Participation orders with their payments (several payments stay separate)."""
     ord_ = d.orders.where(F.col("item_type") == "Participation").alias("ord")
     pmt = d.payments.alias("pmt")
-    return (ord_.join(pmt, F.col("ord.id") == F.col("pmt.order_id"), "left")
-            .select(F.col("ord.item_id"), F.col("ord.base_cost"), F.col("ord.cost"), F.col("pmt.amount")))
+    cols = [F.col("ord.item_id"), F.col("ord.base_cost"), F.col("ord.cost"), F.col("pmt.amount")]
+    if with_id:
+        cols.append(F.col("pmt.id").alias("id"))
+    return ord_.join(fact(pmt), F.col("ord.id") == F.col("pmt.order_id"), "left").select(*cols)
 
 
 def distinct_participants(d) -> DataFrame:

@@ -16,6 +16,8 @@ _BASE_CONF = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Plans over many materialised dimensions print long; cap the plan text.
+    "spark.sql.maxPlanStringLength": "200000",
 }
 
 
@@ -41,24 +43,29 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+_LOCAL_DIRS: dict = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names.
+    """Return the shared folder used to cut lineage (checkpoints, written dimensions).
 
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset
-    (local tests) a scratch folder is created and registered.
+    Uses the folder the cluster names in ``spark.checkpoint.dir`` (or one already
+    set on the SparkContext).  Only when neither exists, as in local tests, a
+    scratch folder is created for this session.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
-    if configured:
-        sc.setCheckpointDir(configured)
-        return configured
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    local = tempfile.mkdtemp(prefix="kpistar-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        sc.setCheckpointDir(configured)
+        return sc._jsc.sc().getCheckpointDir().get()
+    key = sc.applicationId
+    if key not in _LOCAL_DIRS:
+        _LOCAL_DIRS[key] = tempfile.mkdtemp(prefix="kpistar-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        sc.setCheckpointDir(_LOCAL_DIRS[key])
+    return sc._jsc.sc().getCheckpointDir().get()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

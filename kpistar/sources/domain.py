@@ -22,6 +22,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kpistar.operators.materialize import materialize
 from kpistar.sources.raw import RawTables
 
 # Fixed values of the mapping: customer market segment -> territory index,
@@ -52,6 +53,14 @@ def days(n: Column) -> Column:
     return F.make_dt_interval(n.cast("int"))
 
 
+def small_table(fn):
+    """Domain table bounded by the organisation (regions, posts, type lists):
+    derived once, persisted and counted, then shared by every plan."""
+    prop = cached_property(lambda self: materialize(fn(self), fn.__name__))
+    prop.__doc__ = fn.__doc__
+    return prop
+
+
 class Domain:
     """G2 domain tables derived from the driver tables."""
 
@@ -71,14 +80,14 @@ class Domain:
         return cls(RawTables(spark, sf_dir))
 
     # ------------------------------------------------------------------ org
-    @cached_property
+    @small_table
     def brands(self) -> DataFrame:
         r = self.raw.region
         return r.select(F.col("r_regionkey").cast("long").alias("id"),
                         F.col("r_name").alias("name"),
                         F.upper(F.substring("r_name", 1, 2)).alias("code"))
 
-    @cached_property
+    @small_table
     def regions(self) -> DataFrame:
         r, n, c = self.raw.region, self.raw.nation, self.raw.customer
         cols = ["id", "name", "code", "status", "brand_id", "region_level",
@@ -128,7 +137,7 @@ class Domain:
                            F.lit(None).cast("long").alias("education_region_id"))
         return hq.select(cols).unionByName(lvl4).unionByName(lvl5).unionByName(lvl6)
 
-    @cached_property
+    @small_table
     def region_hierarchies(self) -> DataFrame:
         """Closure table (generations 0..3) from parent self joins."""
         r = self.regions.select("id", "parent_id")
@@ -159,13 +168,13 @@ class Domain:
                                    staff.alias("user_id"), lvl.cast("long").alias("post_id"),
                                    lvl)
 
-    @cached_property
+    @small_table
     def posts(self) -> DataFrame:
         return (self.regions.select(F.col("region_level").cast("long").alias("id"),
                                     (F.col("region_level") - 2).alias("role_id"))
                 .distinct())
 
-    @cached_property
+    @small_table
     def user_posts(self) -> DataFrame:
         fp = self._first_posts()
         first = fp.select(F.col("post_key").alias("id"), "user_id", "post_id",
@@ -177,7 +186,7 @@ class Domain:
                           F.lit(None).cast("long").alias("salon_id")))
         return first.unionByName(second)
 
-    @cached_property
+    @small_table
     def user_post_brands(self) -> DataFrame:
         fp = self._first_posts()
         first = fp.select("region_id", F.col("post_key").alias("user_post_id"))
@@ -220,7 +229,7 @@ class Domain:
             F.concat(F.lit("City"), _s("s_nationkey")).alias("city"),
             (k % 6).alias("salon_type_id"))
 
-    @cached_property
+    @small_table
     def salon_types(self) -> DataFrame:
         return self.raw.region.select(
             F.col("r_regionkey").cast("long").alias("id"),
@@ -277,7 +286,7 @@ class Domain:
             F.when(F.col("p_type") == "PROMO", F.lit(0).cast("long"))
             .when(k % 11 != 5, F.round("p_retailprice").cast("long")).alias("cost"))
 
-    @cached_property
+    @small_table
     def seminar_kpis_types(self) -> DataFrame:
         t = F.col("p_type")
         return (self.raw.part.where(t != "STANDARD").select("p_type").distinct()
@@ -285,20 +294,20 @@ class Domain:
                         F.when(t == "PROMO", "Brand Day").when(t == "SMALL", "Consultations")
                         .when(t != "MEDIUM", t).alias("name")))
 
-    @cached_property
+    @small_table
     def seminar_specializations(self) -> DataFrame:
         return (self.raw.part.select("p_brand").distinct()
                 .select(F.substring("p_brand", 7, 10).cast("long").alias("id"),
                         F.col("p_brand").alias("name")))
 
-    @cached_property
+    @small_table
     def seminar_event_types(self) -> DataFrame:
         return (self.raw.orders.select("o_orderpriority").distinct()
                 .select(F.substring("o_orderpriority", 1, 1).cast("long").alias("id"),
                         F.col("o_orderpriority").alias("name")))
 
     # ----------------------------------------------------- training centres
-    @cached_property
+    @small_table
     def training_centers(self) -> DataFrame:
         k = F.col("n_nationkey")
         coef = (F.when(k % 3 == 0, F.lit(1.00)).when(k % 3 == 1, F.lit(1.25))
@@ -308,7 +317,7 @@ class Domain:
             F.concat(F.lit("Avenue "), _s(k)).alias("address"), coef.alias("costs_coefficient"),
             (k % 2).alias("center_type"), (F.col("n_regionkey") + 10).cast("long").alias("region_id"))
 
-    @cached_property
+    @small_table
     def regions_training_centers(self) -> DataFrame:
         k = F.col("n_nationkey")
         return self.raw.nation.select(k.cast("long").alias("training_center_id"),
@@ -346,9 +355,11 @@ class Domain:
     def payments(self) -> DataFrame:
         li = self.raw.lineitem.where(F.col("l_linestatus") == "F")
         oid = F.concat(F.lit("ord-"), participation_id())
-        a = li.select(oid.alias("order_id"), F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"))
+        a = li.select(F.concat(F.lit("pay-"), participation_id(), F.lit("-1")).alias("id"),
+                      oid.alias("order_id"), F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"))
         b = (li.where(F.col("l_linenumber") == 1)
-             .select(oid.alias("order_id"), F.col("l_tax").cast("decimal(18,2)").alias("amount")))
+             .select(F.concat(F.lit("pay-"), participation_id(), F.lit("-2")).alias("id"),
+                     oid.alias("order_id"), F.col("l_tax").cast("decimal(18,2)").alias("amount")))
         return a.unionByName(b)
 
     # ----------------------------------------------------------- coaching
@@ -356,7 +367,7 @@ class Domain:
     def _coach_seminar_id(col: Column) -> Column:
         return (F.length(col) * 100 + F.ascii(col)).cast("long")
 
-    @cached_property
+    @small_table
     def admin_coach_seminars(self) -> DataFrame:
         e = self.raw.events
         return (e.select("event_type").distinct()
