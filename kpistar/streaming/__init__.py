@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming sources, watermarks, windows over event time or
+stateful operators (every statement is a batch query with literal period
+bounds), so nothing here re-implements streaming work.  Periodic refresh of a
+KPI sheet is a batch job: build the report for the period and write it with
+``kpistar.sources.sinks.write_report(..., partition_by=["year"])``.
+"""
