@@ -61,3 +61,24 @@ def fact(df: DataFrame) -> DataFrame:
     shuffle join whatever the estimate says.
     """
     return df.hint("merge")
+
+
+def outer_fanout(left: DataFrame, right: DataFrame, left_key: Column, right_key: str) -> DataFrame:
+    """``left LEFT JOIN right ON left_key = right.right_key`` where ``right`` is a
+    fact that may hold a hot key.
+
+    A skewed partition of the right (null-supplying) side of a left outer join
+    cannot be split by AQE, so one hot key would land in one task.  The same
+    rows are produced as
+
+        (left INNER JOIN right)  UNION ALL  (left ANTI JOIN distinct right keys, right columns NULL)
+
+    The inner join's skewed partitions can be split on either side, and the
+    anti join only sees the distinct keys (pre-aggregated map-side).
+    """
+    inner = left.join(fact(right), left_key == right[right_key], "inner")
+    keys = right.select(F.col(right_key).alias("_fanout_key")).distinct()
+    lone = left.join(keys, left_key == keys["_fanout_key"], "left_anti")
+    for f in right.schema.fields:
+        lone = lone.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return inner.unionByName(lone.select(*inner.columns))

@@ -15,7 +15,7 @@ from kpistar.config import ReportParams
 from kpistar.functions import (at_report_tz, base_price, coalesce_case, decode, discount_due, dmy,
                                interval_days, is_true, period_filter, pg_concat, pg_concat_op, pg_int,
                                presence_flag, when_present, year_ranges)
-from kpistar.operators.joins import anti_orphans, bounded_broadcast, fact, lookup
+from kpistar.operators.joins import anti_orphans, bounded_broadcast, fact, lookup, outer_fanout
 from kpistar.operators.ordering import pg_asc
 from kpistar.operators.skewsafe import first_and_totals, running_count_range, running_sum
 from kpistar.plans import dims, legacy
@@ -196,7 +196,7 @@ def join_left_fanout(d) -> DataFrame:
     """Event ⟕ participations, 1:N (events without participants keep one NULL row)."""
     e = d.seminar_events.select("id")
     p = d.participations.select(F.col("id").alias("prt_id"), "seminar_event_id", "user_id")
-    return e.join(fact(p), e.id == p.seminar_event_id, "left").select(F.col("id").alias("event_id"), "prt_id", "user_id")
+    return outer_fanout(e, p, e.id, "seminar_event_id").select(F.col("id").alias("event_id"), "prt_id", "user_id")
 
 
 def join_left_composite(d) -> DataFrame:
@@ -245,8 +245,8 @@ def join_role_playing(d) -> DataFrame:
     edu = _pref(d.users, "edu_")
     p = d.participations.select(F.col("id").alias("prt_id"), "seminar_event_id", F.col("user_id").alias("p_user"))
     pu = _pref(d.users, "pu_")
-    j = (e.join(_bb(edu), F.col("educator_id") == F.col("edu_id"), "left")
-         .join(fact(p), F.col("id") == F.col("seminar_event_id"), "left")
+    j = e.join(_bb(edu), F.col("educator_id") == F.col("edu_id"), "left")
+    j = (outer_fanout(j, p, F.col("id"), "seminar_event_id")
          .join(_bb(pu), F.col("p_user") == F.col("pu_id"), "left"))
     return j.select(F.col("id").alias("event_id"), "prt_id",
                     pg_concat_op(F.col("edu_first_name"), " ", F.col("edu_last_name")).alias("educator_name"),
@@ -289,7 +289,7 @@ def audit_fanout(d, params: ReportParams = P) -> DataFrame:
     e = d.seminar_events.where(period_filter(F.col("started_at"), params.period, params.report_tz)).select("id")
     p = d.participations.select(F.col("id").alias("prt_id"), "seminar_event_id", "user_id")
     per_user = d.users_salons.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_salons"))
-    j = (e.join(fact(p), F.col("id") == F.col("seminar_event_id"), "left")
+    j = (outer_fanout(e, p, F.col("id"), "seminar_event_id")
          .join(_bb(per_user.withColumnRenamed("user_id", "m_user")), F.col("user_id") == F.col("m_user"), "left"))
     return (j.groupBy(F.col("id").alias("event_id"))
             .agg(F.count("prt_id").alias("participation_rows"),
@@ -304,7 +304,7 @@ def agg_group_count(ld, params: ReportParams = P) -> DataFrame:
     s = ld.seminars.where(period_filter(F.col("started_at"), params.legacy_salon_period, "UTC")).select("id", "started_at")
     smu = ld.seminar_users.select(F.col("seminar_id"), F.col("user_id").alias("smu_user"))
     u = ld.users.select(F.col("id").alias("usr_id"), F.col("full_name"))
-    j = (s.join(fact(smu), F.col("id") == F.col("seminar_id"), "left")
+    j = (outer_fanout(s, smu, F.col("id"), "seminar_id")
          .join(_bb(u), F.col("smu_user") == F.col("usr_id"), "left"))
     return (j.groupBy(F.col("id").alias("smr_id"), "started_at", "usr_id", "full_name")
             .agg(F.count("usr_id").alias("users_count")))
@@ -322,7 +322,7 @@ def _event_rows(d, params: ReportParams = P) -> DataFrame:
         F.col("id").alias("event_id"), "started_at", "seminar_id")
     p = d.participations.select(F.col("id").alias("prt_id"), "seminar_event_id", "user_id", "discount_id")
     us = d.users_salons.select(F.col("user_id").alias("m_user"), "salon_id")
-    return (e.join(fact(p), F.col("event_id") == F.col("seminar_event_id"), "left")
+    return (outer_fanout(e, p, F.col("event_id"), "seminar_event_id")
             .join(_bb(us), F.col("user_id") == F.col("m_user"), "left"))
 
 

@@ -21,7 +21,7 @@ def test_fact_sides_are_never_broadcast(spark):
     d = domain(spark, SF_SMALL)
     plan = _plan(reports.kpi_report(d, ordered=False))
     # events meet participations in a shuffle join on the event id, whatever the size estimate
-    assert re.search(r"SortMergeJoin \[id#\d+L\], \[prt_seminar_event_id#\d+L\], LeftOuter", plan)
+    assert re.search(r"SortMergeJoin \[id#\d+L\], \[prt_seminar_event_id#\d+L\], Inner", plan)
 
 
 def test_scan_reads_only_needed_columns(spark):
