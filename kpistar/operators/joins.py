@@ -63,7 +63,8 @@ def fact(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
-def outer_fanout(left: DataFrame, right: DataFrame, left_key: Column, right_key: str) -> DataFrame:
+def outer_fanout(left: DataFrame, right: DataFrame, left_key: Column, right_key: str,
+                 hot: bool = True) -> DataFrame:
     """``left LEFT JOIN right ON left_key = right.right_key`` where ``right`` is a
     fact that may hold a hot key.
 
@@ -74,8 +75,12 @@ def outer_fanout(left: DataFrame, right: DataFrame, left_key: Column, right_key:
         (left INNER JOIN right)  UNION ALL  (left ANTI JOIN distinct right keys, right columns NULL)
 
     The inner join's skewed partitions can be split on either side, and the
-    anti join only sees the distinct keys (pre-aggregated map-side).
+    anti join only sees the distinct keys (pre-aggregated map-side).  With
+    ``hot=False`` (the plan-time check found every key group bounded) it is the
+    plain left join.
     """
+    if not hot:
+        return left.join(fact(right), left_key == right[right_key], "left")
     inner = left.join(fact(right), left_key == right[right_key], "inner")
     keys = right.select(F.col(right_key).alias("_fanout_key")).distinct()
     lone = left.join(keys, left_key == keys["_fanout_key"], "left_anti")

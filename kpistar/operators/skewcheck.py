@@ -1,0 +1,26 @@
+"""Plan-time hot-key check.
+
+Before choosing how to lay out a per-group computation, count the rows of the
+largest group of the fact's key (one column, map-side partial aggregation, one
+number returned to the driver).  Below ``threshold`` every group is provably
+bounded and the direct plan (left join, ``OVER (PARTITION BY ...)`` window) is
+used; at or above it the skew-safe plan is used.  Both plans give the same rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def max_key_count(df: DataFrame, key: str) -> int:
+    row = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
+    return int(row["m"] or 0) if row else 0
+
+
+def is_hot(owner, name: str, df: DataFrame, key: str, threshold: int) -> bool:
+    """Memoised on ``owner`` (a domain object): does any ``key`` group reach ``threshold`` rows?"""
+    memo = owner.__dict__.setdefault("_hot_memo", {})
+    if (name, key) not in memo:
+        memo[(name, key)] = max_key_count(df, key)
+    return memo[(name, key)] >= threshold

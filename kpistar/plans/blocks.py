@@ -20,7 +20,7 @@ from kpistar.operators.ordering import pg_asc
 from kpistar.operators.skewsafe import first_and_totals, running_count_range, running_sum
 from kpistar.plans import dims, legacy
 from kpistar.plans.dims import ROLE_BY_LEVEL, TEAM_BY_STRUCTURE
-from kpistar.plans.reports import kpi_brand_report, kpi_class as kpi_class_expr
+from kpistar.plans.reports import hot_events, kpi_brand_report, kpi_class as kpi_class_expr
 
 P = ReportParams()
 
@@ -196,7 +196,7 @@ def join_left_fanout(d) -> DataFrame:
     """Event ⟕ participations, 1:N (events without participants keep one NULL row)."""
     e = d.seminar_events.select("id")
     p = d.participations.select(F.col("id").alias("prt_id"), "seminar_event_id", "user_id")
-    return outer_fanout(e, p, e.id, "seminar_event_id").select(F.col("id").alias("event_id"), "prt_id", "user_id")
+    return outer_fanout(e, p, e.id, "seminar_event_id", hot_events(d, P)).select(F.col("id").alias("event_id"), "prt_id", "user_id")
 
 
 def join_left_composite(d) -> DataFrame:
@@ -246,7 +246,7 @@ def join_role_playing(d) -> DataFrame:
     p = d.participations.select(F.col("id").alias("prt_id"), "seminar_event_id", F.col("user_id").alias("p_user"))
     pu = _pref(d.users, "pu_")
     j = e.join(_bb(edu), F.col("educator_id") == F.col("edu_id"), "left")
-    j = (outer_fanout(j, p, F.col("id"), "seminar_event_id")
+    j = (outer_fanout(j, p, F.col("id"), "seminar_event_id", hot_events(d, P))
          .join(_bb(pu), F.col("p_user") == F.col("pu_id"), "left"))
     return j.select(F.col("id").alias("event_id"), "prt_id",
                     pg_concat_op(F.col("edu_first_name"), " ", F.col("edu_last_name")).alias("educator_name"),
@@ -289,7 +289,7 @@ def audit_fanout(d, params: ReportParams = P) -> DataFrame:
     e = d.seminar_events.where(period_filter(F.col("started_at"), params.period, params.report_tz)).select("id")
     p = d.participations.select(F.col("id").alias("prt_id"), "seminar_event_id", "user_id")
     per_user = d.users_salons.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_salons"))
-    j = (outer_fanout(e, p, F.col("id"), "seminar_event_id")
+    j = (outer_fanout(e, p, F.col("id"), "seminar_event_id", hot_events(d, P))
          .join(_bb(per_user.withColumnRenamed("user_id", "m_user")), F.col("user_id") == F.col("m_user"), "left"))
     return (j.groupBy(F.col("id").alias("event_id"))
             .agg(F.count("prt_id").alias("participation_rows"),
@@ -304,7 +304,7 @@ def agg_group_count(ld, params: ReportParams = P) -> DataFrame:
     s = ld.seminars.where(period_filter(F.col("started_at"), params.legacy_salon_period, "UTC")).select("id", "started_at")
     smu = ld.seminar_users.select(F.col("seminar_id"), F.col("user_id").alias("smu_user"))
     u = ld.users.select(F.col("id").alias("usr_id"), F.col("full_name"))
-    j = (outer_fanout(s, smu, F.col("id"), "seminar_id")
+    j = (outer_fanout(s, smu, F.col("id"), "seminar_id", legacy.hot_seminars(ld, params))
          .join(_bb(u), F.col("smu_user") == F.col("usr_id"), "left"))
     return (j.groupBy(F.col("id").alias("smr_id"), "started_at", "usr_id", "full_name")
             .agg(F.count("usr_id").alias("users_count")))
@@ -322,22 +322,27 @@ def _event_rows(d, params: ReportParams = P) -> DataFrame:
         F.col("id").alias("event_id"), "started_at", "seminar_id")
     p = d.participations.select(F.col("id").alias("prt_id"), "seminar_event_id", "user_id", "discount_id")
     us = d.users_salons.select(F.col("user_id").alias("m_user"), "salon_id")
-    return (outer_fanout(e, p, F.col("event_id"), "seminar_event_id")
+    return (outer_fanout(e, p, F.col("event_id"), "seminar_event_id", hot_events(d, params))
             .join(_bb(us), F.col("user_id") == F.col("m_user"), "left"))
 
 
 ROW_ORDER = ["prt_id", "salon_id"]
 
 
-def _totals(j: DataFrame, aggs: dict, part=("event_id",)) -> DataFrame:
-    return first_and_totals(j, list(part), ROW_ORDER, aggs, "_first")
+def _windows(d) -> bool:
+    """Direct windows when the plan-time check bounds every event's group."""
+    return not hot_events(d, P)
+
+
+def _totals(j: DataFrame, aggs: dict, d, part=("event_id",)) -> DataFrame:
+    return first_and_totals(j, list(part), ROW_ORDER, aggs, "_first", windows=_windows(d))
 
 
 def window_first_row(d) -> DataFrame:
     """Event values emitted on the event's first row only (total order)."""
     j = _event_rows(d)
     smr = d.seminars.select(F.col("id").alias("s_id"), "duration")
-    j = _totals(j.join(_bb(smr), F.col("seminar_id") == F.col("s_id"), "left"), {})
+    j = _totals(j.join(_bb(smr), F.col("seminar_id") == F.col("s_id"), "left"), {}, d)
     return j.select("event_id", "prt_id", "salon_id", emit_once_flag("_first", F.col("duration")).alias("smr_duration"),
                     emit_once_flag("_first", F.col("event_id")).alias("uniq_smr_id"))
 
@@ -346,32 +351,33 @@ def window_row_number(d) -> DataFrame:
     """``row_number() OVER (PARTITION BY event ORDER BY participation)``
     as a bucketed running count (the order is unique inside an event)."""
     j = _event_rows(d).withColumn("_one", F.lit(1))
-    j = running_sum(j, ["event_id"], ROW_ORDER, "_one", "rn")
+    j = running_sum(j, ["event_id"], ROW_ORDER, "_one", "rn", windows=_windows(d))
     return j.select("event_id", "prt_id", "salon_id", F.col("rn").cast("int").alias("rn"))
 
 
 def window_count(d) -> DataFrame:
     """Joined-row counts per event (attendees, client salons), emitted once."""
-    j = _totals(_event_rows(d), {"_users": F.count("user_id"), "_clients": F.count("salon_id")})
+    j = _totals(_event_rows(d), {"_users": F.count("user_id"), "_clients": F.count("salon_id")}, d)
     return j.select("event_id", "prt_id", "salon_id", emit_once_flag("_first", F.col("_users")).alias("users_count"),
                     emit_once_flag("_first", F.col("_clients")).alias("clients_count"))
 
 
 def window_running_count(d) -> DataFrame:
     """Running count, default RANGE frame: membership ties on a participation share it."""
-    j = running_count_range(_event_rows(d), ["event_id"], "prt_id", "user_id", "user_num")
+    j = running_count_range(_event_rows(d), ["event_id"], "prt_id", "user_id", "user_num",
+                            windows=_windows(d))
     return j.select("event_id", "prt_id", "salon_id", "user_num")
 
 
 def window_dedup_person(d) -> DataFrame:
     """Participant id emitted once per (event, participant); two partition columns."""
-    j = _totals(_event_rows(d), {}, part=("event_id", "user_id"))
+    j = _totals(_event_rows(d), {}, d, part=("event_id", "user_id"))
     return j.select("event_id", "prt_id", "salon_id", emit_once_flag("_first", F.col("user_id")).alias("user_id"))
 
 
 def window_presence_flag(d) -> DataFrame:
     """W8/M5: 'attend' when the event has any participant row, else 'no_users'."""
-    j = _totals(_event_rows(d), {"_users": F.count("user_id")})
+    j = _totals(_event_rows(d), {"_users": F.count("user_id")}, d)
     return j.select("event_id", "prt_id", "salon_id",
                     F.when(F.col("_users") > 0, "attend").otherwise("no_users").alias("status_seminar_users"))
 
@@ -384,7 +390,7 @@ def window_sum_case(d) -> DataFrame:
     j = (j.join(_bb(smr), F.col("seminar_id") == F.col("s_id"), "left")
          .join(_bb(dsc), F.col("discount_id") == F.col("d_id"), "left"))
     j = j.withColumn("_due", discount_due(F.col("cost"), F.col("percent_value")))
-    j = _totals(j, {"_paid": F.sum("_due")})
+    j = _totals(j, {"_paid": F.sum("_due")}, d)
     return j.select("event_id", "prt_id", "salon_id", F.col("_due").alias("user_must_pay"),
                     emit_once_flag("_first", F.col("_paid")).alias("smr_paid"))
 
