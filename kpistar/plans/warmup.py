@@ -1,0 +1,39 @@
+"""Build the organisation-sized tables of a domain up front, a wave at a time.
+
+Each wave holds tables whose inputs were written by earlier waves; the tables
+of one wave are written concurrently (one Spark job each, submitted from a
+thread pool), so the many small jobs overlap instead of running one by one.
+"""
+
+from __future__ import annotations
+
+from concurrent.futures import ThreadPoolExecutor
+
+from kpistar.config import ReportParams
+from kpistar.plans import dims, legacy
+
+P = ReportParams()
+
+
+def _run_waves(waves, workers: int = 8) -> None:
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        for wave in waves:
+            list(pool.map(lambda f: f(), wave))
+
+
+def warm_domain(d, params: ReportParams = P) -> None:
+    waves = [
+        [lambda: d.regions, lambda: d.seminar_kpis_types, lambda: d.seminar_specializations,
+         lambda: d.seminar_event_types, lambda: d.admin_coach_seminars, lambda: d.brands,
+         lambda: d.salon_types, lambda: d.training_centers, lambda: d.regions_training_centers],
+        [lambda: d.region_hierarchies, lambda: d.posts, lambda: d.user_posts, lambda: d.user_post_brands],
+        [lambda: dims.internal_staff(d), lambda: dims.region_chain(d), lambda: dims.training_centers_regions(d)],
+        [lambda: dims.staff_hierarchy(d), lambda: dims.staff_hierarchy_fixed(d),
+         lambda: dims.salons_regions(d, "id"), lambda: dims.salons_regions(d, "salon_id", brand_join=True)],
+        [lambda: dims.educators(d), lambda: dims.places(d), lambda: dims.nobrand_salons(d, params)],
+    ]
+    _run_waves(waves)
+
+
+def warm_legacy(ld, params: ReportParams = P) -> None:
+    _run_waves([[lambda: ld.studios, lambda: ld.remote_clubs], [lambda: legacy.program_salons(ld, params)]])

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kpistar.config import ReportParams
 from kpistar.plans import blocks, dims, facts, legacy, reports
+from kpistar.plans.warmup import warm_domain, warm_legacy
 from kpistar.sources.domain import Domain
 from kpistar.sources.legacy import LegacyDomain
 
@@ -23,14 +24,18 @@ _DOMAINS: dict = {}
 def domain(spark: SparkSession, sf_dir: str) -> Domain:
     key = (id(spark), sf_dir)
     if key not in _DOMAINS:
-        _DOMAINS[key] = Domain.from_sf(spark, sf_dir)
+        d = Domain.from_sf(spark, sf_dir)
+        warm_domain(d)
+        _DOMAINS[key] = d
     return _DOMAINS[key]
 
 
 def legacy_domain(spark: SparkSession, sf_dir: str) -> LegacyDomain:
     key = ("g1", id(spark), sf_dir)
     if key not in _DOMAINS:
-        _DOMAINS[key] = LegacyDomain.from_sf(spark, sf_dir)
+        ld = LegacyDomain.from_sf(spark, sf_dir)
+        warm_legacy(ld)
+        _DOMAINS[key] = ld
     return _DOMAINS[key]
 
 
