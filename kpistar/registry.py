@@ -21,8 +21,13 @@ P = ReportParams()
 _DOMAINS: dict = {}
 
 
+def _session_key(spark: SparkSession) -> tuple:
+    # a new session (or a restarted context) gets new domains and new written tables
+    return (id(spark), spark.sparkContext.applicationId)
+
+
 def domain(spark: SparkSession, sf_dir: str) -> Domain:
-    key = (id(spark), sf_dir)
+    key = (_session_key(spark), sf_dir)
     if key not in _DOMAINS:
         d = Domain.from_sf(spark, sf_dir)
         warm_domain(d)
@@ -31,7 +36,7 @@ def domain(spark: SparkSession, sf_dir: str) -> Domain:
 
 
 def legacy_domain(spark: SparkSession, sf_dir: str) -> LegacyDomain:
-    key = ("g1", id(spark), sf_dir)
+    key = ("g1", _session_key(spark), sf_dir)
     if key not in _DOMAINS:
         ld = LegacyDomain.from_sf(spark, sf_dir)
         warm_legacy(ld)
