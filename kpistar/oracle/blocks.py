@@ -231,7 +231,8 @@ SELECT s.id AS smr_id, b.master_id, b.booking_at,
        WHEN date_part('day', s.started_at - b.booking_at) > 0 THEN 'pre_booking' ELSE '' END AS status_booking
 FROM g1_seminars s JOIN g1_booking b ON s.id = b.seminar_id""",
     "math_base_price": """
-SELECT s.id, CASE WHEN d.coefficient IS NOT NULL THEN d.coefficient * t.base_price ELSE t.base_price END AS base_price
+SELECT s.id, CAST(CASE WHEN d.coefficient IS NOT NULL THEN d.coefficient * t.base_price ELSE t.base_price END
+  AS DECIMAL(18,4)) AS base_price
 FROM g1_seminars s LEFT JOIN g1_seminar_types t ON s.seminar_type_id = t.id
 LEFT JOIN g1_studios d ON s.studio_id IS NOT NULL AND s.studio_id = d.id""",
     "coalesce_chain": """

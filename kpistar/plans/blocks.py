@@ -352,7 +352,7 @@ def window_row_number(d) -> DataFrame:
     as a bucketed running count (the order is unique inside an event)."""
     j = _event_rows(d).withColumn("_one", F.lit(1))
     j = running_sum(j, ["event_id"], ROW_ORDER, "_one", "rn", windows=_windows(d))
-    return j.select("event_id", "prt_id", "salon_id", F.col("rn").cast("int").alias("rn"))
+    return j.select("event_id", "prt_id", "salon_id", F.col("rn").cast("long").alias("rn"))
 
 
 def window_count(d) -> DataFrame:
@@ -475,7 +475,8 @@ def math_base_price(ld) -> DataFrame:
     std = ld.studios.select(F.col("id").alias("std_id"), "coefficient")
     j = (s.join(_bb(st), F.col("seminar_type_id") == F.col("t_id"), "left")
          .join(_bb(std), F.col("studio_id").isNotNull() & (F.col("studio_id") == F.col("std_id")), "left"))
-    return j.select("id", base_price(F.col("coefficient"), F.col("base_price")).alias("base_price"))
+    return j.select("id", base_price(F.col("coefficient"), F.col("base_price")).cast("decimal(18,4)")
+                    .alias("base_price"))
 
 
 def coalesce_chain(ld) -> DataFrame:
