@@ -23,6 +23,7 @@ def event_window(partition, order=()):
     return w
 
 
-def emit_once(row_number: Column, value: Column) -> Column:
-    """``CASE WHEN row_number = 1 THEN value END``."""
-    return F.when(row_number == 1, value)
+def emit_once(first, value: Column) -> Column:
+    """``CASE WHEN <row is the group's first> THEN value END``; ``first`` is a boolean
+    Column or the name of a boolean column."""
+    return F.when(F.col(first) if isinstance(first, str) else first, value)

@@ -15,9 +15,10 @@ from kpistar.config import ReportParams
 from kpistar.functions import (at_report_tz, base_price, coalesce_case, decode, discount_due, dmy,
                                interval_days, is_true, period_filter, pg_concat, pg_concat_op, pg_int,
                                presence_flag, when_present, year_ranges)
-from kpistar.operators.joins import anti_orphans, bounded_broadcast, fact, lookup, outer_fanout
+from kpistar.operators.joins import bounded_broadcast, fact, lookup, outer_fanout
 from kpistar.operators.ordering import pg_asc
 from kpistar.operators.skewsafe import first_and_totals, running_count_range, running_sum
+from kpistar.operators.windows import emit_once
 from kpistar.plans import dims, legacy
 from kpistar.plans.dims import ROLE_BY_LEVEL, TEAM_BY_STRUCTURE
 from kpistar.plans.reports import hot_events, kpi_brand_report, kpi_class as kpi_class_expr
@@ -25,10 +26,6 @@ from kpistar.plans.reports import hot_events, kpi_brand_report, kpi_class as kpi
 P = ReportParams()
 
 
-def emit_once_flag(flag: str, value) -> F.Column:
-    return F.when(F.col(flag), value)
-
-
 def _pref(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{prefix}{c}") for c in df.columns])
 
@@ -275,11 +272,6 @@ def join_bridge(d) -> DataFrame:
     return j.select("prt_id", "user_id", "salon_id", "salon_name")
 
 
-def join_anti(d) -> DataFrame:
-    """J14 helper kept for symmetry with R8 (seminars without KPI type)."""
-    return anti_orphans(d.seminars, d.seminar_kpis_types, "seminar_kpis_type_id", "id")
-
-
 def audit_fanout(d, params: ReportParams = P) -> DataFrame:
     """J17/quality: per event, participation rows vs rows after the membership bridge.
 
@@ -343,8 +335,8 @@ def window_first_row(d) -> DataFrame:
     j = _event_rows(d)
     smr = d.seminars.select(F.col("id").alias("s_id"), "duration")
     j = _totals(j.join(_bb(smr), F.col("seminar_id") == F.col("s_id"), "left"), {}, d)
-    return j.select("event_id", "prt_id", "salon_id", emit_once_flag("_first", F.col("duration")).alias("smr_duration"),
-                    emit_once_flag("_first", F.col("event_id")).alias("uniq_smr_id"))
+    return j.select("event_id", "prt_id", "salon_id", emit_once("_first", F.col("duration")).alias("smr_duration"),
+                    emit_once("_first", F.col("event_id")).alias("uniq_smr_id"))
 
 
 def window_row_number(d) -> DataFrame:
@@ -358,8 +350,8 @@ def window_row_number(d) -> DataFrame:
 def window_count(d) -> DataFrame:
     """Joined-row counts per event (attendees, client salons), emitted once."""
     j = _totals(_event_rows(d), {"_users": F.count("user_id"), "_clients": F.count("salon_id")}, d)
-    return j.select("event_id", "prt_id", "salon_id", emit_once_flag("_first", F.col("_users")).alias("users_count"),
-                    emit_once_flag("_first", F.col("_clients")).alias("clients_count"))
+    return j.select("event_id", "prt_id", "salon_id", emit_once("_first", F.col("_users")).alias("users_count"),
+                    emit_once("_first", F.col("_clients")).alias("clients_count"))
 
 
 def window_running_count(d) -> DataFrame:
@@ -372,7 +364,7 @@ def window_running_count(d) -> DataFrame:
 def window_dedup_person(d) -> DataFrame:
     """Participant id emitted once per (event, participant); two partition columns."""
     j = _totals(_event_rows(d), {}, d, part=("event_id", "user_id"))
-    return j.select("event_id", "prt_id", "salon_id", emit_once_flag("_first", F.col("user_id")).alias("user_id"))
+    return j.select("event_id", "prt_id", "salon_id", emit_once("_first", F.col("user_id")).alias("user_id"))
 
 
 def window_presence_flag(d) -> DataFrame:
@@ -392,7 +384,7 @@ def window_sum_case(d) -> DataFrame:
     j = j.withColumn("_due", discount_due(F.col("cost"), F.col("percent_value")))
     j = _totals(j, {"_paid": F.sum("_due")}, d)
     return j.select("event_id", "prt_id", "salon_id", F.col("_due").alias("user_must_pay"),
-                    emit_once_flag("_first", F.col("_paid")).alias("smr_paid"))
+                    emit_once("_first", F.col("_paid")).alias("smr_paid"))
 
 
 # ---------------------------------------------------------- sorting
