@@ -413,7 +413,7 @@ def string_concat_function(d) -> DataFrame:
 
 
 def date_extract(d, params: ReportParams = P) -> DataFrame:
-    """Day, month, year of the event start; opening year of salons."""
+    """Day, month, year of the event start (the salon opening year, M40, is in join_full_outer)."""
     e = d.seminar_events
     t = at_report_tz(F.col("started_at"), params.report_tz)
     return e.select("id", F.dayofmonth(t).alias("day"), F.month(t).alias("month"), F.year(t).alias("year"))

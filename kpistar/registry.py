@@ -85,8 +85,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_dump": _g2(reports.event_dump),
     # legacy single-brand datasets and reports
     "remote_programs": _g1(legacy.programs),
-    "filter_like_or": _g1(lambda ld: legacy.club_programs(ld, P.program_years[1])),
-    "filter_like_and": _g1(lambda ld: legacy.emotion_programs(ld, P.program_years[0])),
+    "filter_like_or": _g1(legacy.club_programs_current),
+    "filter_like_and": _g1(legacy.emotion_programs_previous),
     "dim_program_salons": _g1(legacy.program_salons),
     "remote_payments_flag": _g1(legacy.payments_flag),
     "fact_booking": _g1(legacy.booking),
