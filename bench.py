@@ -32,7 +32,8 @@ def main() -> None:
     from kpistar.session import build_session
     from kpistar.registry import QUERIES
 
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(cpus) * 2))
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=parts,
                           extra={"spark.driver.memory": "16g"})
     keys = only or HEADLINE
     times = {}
