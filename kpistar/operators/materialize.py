@@ -17,6 +17,7 @@ read back.  Three things follow:
 from __future__ import annotations
 
 import functools
+import inspect
 import uuid
 
 from pyspark.sql import DataFrame
@@ -35,10 +36,15 @@ def materialize(df: DataFrame, name: str = "dim") -> DataFrame:
 def dimension(fn):
     """Memoise ``fn(domain, *args)`` on the domain object and materialise the result."""
 
+    sig = inspect.signature(fn)
+
     @functools.wraps(fn)
     def wrapper(d, *args, **kwargs):
         memo = d.__dict__.setdefault("_dimension_memo", {})
-        key = (fn.__module__, fn.__name__, args, tuple(sorted(kwargs.items())))
+        # bind with defaults so f(d) and f(d, <default>) share one written table
+        bound = sig.bind(d, *args, **kwargs)
+        bound.apply_defaults()
+        key = (fn.__module__, fn.__name__, tuple(list(bound.arguments.items())[1:]))
         if key not in memo:
             memo[key] = materialize(fn(d, *args, **kwargs), fn.__name__)
         return memo[key]
