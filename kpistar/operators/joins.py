@@ -87,3 +87,32 @@ def outer_fanout(left: DataFrame, right: DataFrame, left_key: Column, right_key:
     for f in right.schema.fields:
         lone = lone.withColumn(f.name, F.lit(None).cast(f.dataType))
     return inner.unionByName(lone.select(*inner.columns))
+
+
+def left_join_many(left: DataFrame, right: DataFrame, left_key: Column, right_key: str,
+                   hot: bool, limit: int = DEFAULT_LIMIT) -> DataFrame:
+    """``left LEFT JOIN right`` for a 1:N right side (memberships, posts).
+
+    A right side under the size bound is broadcast (no shuffle, so no skew);
+    otherwise the join is ``outer_fanout`` (split when the plan-time check found
+    a hot key, plain shuffle join when every key group is bounded).
+    """
+    if estimated_bytes(right) <= limit:
+        return left.join(F.broadcast(right), left_key == right[right_key], "left")
+    return outer_fanout(left, right, left_key, right_key, hot)
+
+
+def full_outer_dim(fact_side: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
+    """``fact FULL JOIN dim`` where ``dim`` is unique on its key.
+
+    FULL OUTER joins cannot have skewed partitions split, so a dimension key
+    held by a third of the fact rows would be one task.  Same rows as
+    ``(fact LEFT JOIN dim) UNION ALL (dim ANTI JOIN distinct fact keys, fact columns NULL)``;
+    the left join keeps the hot key on its splittable side.
+    """
+    left = fact_side.join(dim, fact_side[fact_key] == dim[dim_key], "left")
+    keys = fact_side.select(F.col(fact_key).alias("_full_key")).distinct()
+    alone = dim.join(keys, dim[dim_key] == keys["_full_key"], "left_anti")
+    for f in fact_side.schema.fields:
+        alone = alone.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return left.unionByName(alone.select(*left.columns))

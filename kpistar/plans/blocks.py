@@ -15,13 +15,13 @@ from kpistar.config import ReportParams
 from kpistar.functions import (at_report_tz, base_price, coalesce_case, decode, discount_due, dmy,
                                interval_days, is_true, period_filter, pg_concat, pg_concat_op, pg_int,
                                presence_flag, when_present, year_ranges)
-from kpistar.operators.joins import bounded_broadcast, fact, lookup, outer_fanout
+from kpistar.operators.joins import bounded_broadcast, fact, left_join_many, lookup, outer_fanout
 from kpistar.operators.ordering import pg_asc
 from kpistar.operators.skewsafe import first_and_totals, running_count_range, running_sum
 from kpistar.operators.windows import emit_once
 from kpistar.plans import dims, legacy
 from kpistar.plans.dims import ROLE_BY_LEVEL, TEAM_BY_STRUCTURE
-from kpistar.plans.reports import hot_events, kpi_brand_report, kpi_class as kpi_class_expr
+from kpistar.plans.reports import hot_events, hot_members, kpi_brand_report, kpi_class as kpi_class_expr
 
 P = ReportParams()
 
@@ -267,7 +267,7 @@ def join_bridge(d) -> DataFrame:
     p = d.participations.select(F.col("id").alias("prt_id"), "user_id")
     us = d.users_salons.select(F.col("user_id").alias("m_user"), "salon_id")
     s = d.salons.select(F.col("id").alias("s_id"), F.col("name").alias("salon_name"))
-    j = (p.join(_bb(us), F.col("user_id") == F.col("m_user"), "left")
+    j = (left_join_many(p, us, F.col("user_id"), "m_user", hot_members(d, P), P.broadcast_limit)
          .join(_bb(s), F.col("salon_id") == F.col("s_id"), "left"))
     return j.select("prt_id", "user_id", "salon_id", "salon_name")
 
@@ -314,8 +314,8 @@ def _event_rows(d, params: ReportParams = P) -> DataFrame:
         F.col("id").alias("event_id"), "started_at", "seminar_id")
     p = d.participations.select(F.col("id").alias("prt_id"), "seminar_event_id", "user_id", "discount_id")
     us = d.users_salons.select(F.col("user_id").alias("m_user"), "salon_id")
-    return (outer_fanout(e, p, F.col("event_id"), "seminar_event_id", hot_events(d, params))
-            .join(_bb(us), F.col("user_id") == F.col("m_user"), "left"))
+    return left_join_many(outer_fanout(e, p, F.col("event_id"), "seminar_event_id", hot_events(d, params)),
+                          us, F.col("user_id"), "m_user", hot_members(d, params), params.broadcast_limit)
 
 
 ROW_ORDER = ["prt_id", "salon_id"]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from kpistar.config import ReportParams
 from kpistar.functions import decode, pg_concat_op, presence_flag
-from kpistar.operators.joins import bounded_broadcast, fact
+from kpistar.operators.joins import bounded_broadcast, fact, full_outer_dim
 from kpistar.operators.materialize import dimension
 
 P = ReportParams()
@@ -198,24 +198,26 @@ def users_salons_dim(d) -> DataFrame:
     Keeps salons without members (user_id NULL) and memberships whose salon
     row is missing (salon columns NULL).
     """
-    us, sln = d.users_salons.alias("usr_sln"), d.salons.alias("sln")
+    us = d.users_salons.select(F.col("user_id").alias("m_user_id"), F.col("salon_id").alias("m_salon_id"))
+    sln = d.salons.select(*[F.col(c).alias(f"s_{c}") for c in d.salons.columns])
     slt, rgs = d.salon_types.alias("slt"), d.regions_salons.alias("rgs")
     rgu = region_chain(d).drop("code").alias("rgu")
     brn = d.brands.alias("brn")
-    j = (us.join(sln, F.col("usr_sln.salon_id") == F.col("sln.id"), "full")
-         .join(_bb(slt), F.col("sln.salon_type_id") == F.col("slt.id"), "left")
-         .join(rgs, F.col("sln.id") == F.col("rgs.salon_id"), "left")
+    # FULL JOIN membership x salon, with a hot salon kept on a splittable side
+    both = full_outer_dim(us, sln, "m_salon_id", "s_id")
+    j = (both.join(_bb(slt), F.col("s_salon_type_id") == F.col("slt.id"), "left")
+         .join(rgs, F.col("s_id") == F.col("rgs.salon_id"), "left")
          .join(_bb(rgu), F.col("rgs.region_id") == F.col("rgu.com_ter_id"), "left")
          .join(_bb(brn), F.col("rgu.brand") == F.col("brn.name"), "left"))
     return j.select(
-        F.col("sln.id").alias("salon_id"),
-        pg_concat_op(F.col("sln.name"), ". ", F.col("sln.address"), ". ", F.col("sln.city")).alias("salon_name"),
-        F.col("sln.city"), F.col("slt.name").alias("salon_type"), F.col("rgs.open_date"),
+        F.col("s_id").alias("salon_id"),
+        pg_concat_op(F.col("s_name"), ". ", F.col("s_address"), ". ", F.col("s_city")).alias("salon_name"),
+        F.col("s_city").alias("city"), F.col("slt.name").alias("salon_type"), F.col("rgs.open_date"),
         F.year(F.col("rgs.open_date")).alias("open_year"),
         decode(F.col("rgs.status"), CLIENT_STATUS).alias("client_status"),
         F.col("brn.code"), F.col("rgu.com_ter_name"), F.col("rgu.com_reg_name"),
         F.col("rgu.com_mreg_name"), F.col("rgu.edu_reg_name"), F.col("rgu.edu_mreg_name"),
-        F.col("usr_sln.user_id"))
+        F.col("m_user_id").alias("user_id"))
 
 
 def _event_brand_keys(d, key: str) -> DataFrame:
