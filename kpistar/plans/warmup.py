@@ -10,7 +10,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from kpistar.config import ReportParams
-from kpistar.plans import dims, legacy
+from kpistar.plans import dims, legacy, reports
 
 P = ReportParams()
 
@@ -25,7 +25,9 @@ def warm_domain(d, params: ReportParams = P) -> None:
     waves = [
         [lambda: d.regions, lambda: d.seminar_kpis_types, lambda: d.seminar_specializations,
          lambda: d.seminar_event_types, lambda: d.admin_coach_seminars, lambda: d.brands,
-         lambda: d.salon_types, lambda: d.training_centers, lambda: d.regions_training_centers],
+         lambda: d.salon_types, lambda: d.training_centers, lambda: d.regions_training_centers,
+         # plan-time hot-key checks of the facts, memoised on the domain
+         lambda: reports.hot_events(d, params), lambda: reports.hot_members(d, params)],
         [lambda: d.region_hierarchies, lambda: d.posts, lambda: d.user_posts, lambda: d.user_post_brands],
         [lambda: dims.internal_staff(d), lambda: dims.region_chain(d), lambda: dims.training_centers_regions(d)],
         [lambda: dims.staff_hierarchy(d), lambda: dims.staff_hierarchy_fixed(d),
@@ -36,4 +38,5 @@ def warm_domain(d, params: ReportParams = P) -> None:
 
 
 def warm_legacy(ld, params: ReportParams = P) -> None:
-    _run_waves([[lambda: ld.studios, lambda: ld.remote_clubs], [lambda: legacy.program_salons(ld, params)]])
+    _run_waves([[lambda: ld.studios, lambda: ld.remote_clubs, lambda: legacy.hot_seminars(ld, params)],
+                [lambda: legacy.program_salons(ld, params)]])
