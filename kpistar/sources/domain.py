@@ -353,14 +353,17 @@ class Domain:
 
     @cached_property
     def payments(self) -> DataFrame:
+        """Payments of finished lines; the first line of an order also has a second
+        (tax) payment.  One scan: each row yields one or two payment rows."""
         li = self.raw.lineitem.where(F.col("l_linestatus") == "F")
-        oid = F.concat(F.lit("ord-"), participation_id())
-        a = li.select(F.concat(F.lit("pay-"), participation_id(), F.lit("-1")).alias("id"),
-                      oid.alias("order_id"), F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"))
-        b = (li.where(F.col("l_linenumber") == 1)
-             .select(F.concat(F.lit("pay-"), participation_id(), F.lit("-2")).alias("id"),
-                     oid.alias("order_id"), F.col("l_tax").cast("decimal(18,2)").alias("amount")))
-        return a.unionByName(b)
+        pid = participation_id()
+        first = F.struct(F.concat(F.lit("pay-"), pid, F.lit("-1")).alias("id"),
+                         F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"))
+        second = F.struct(F.concat(F.lit("pay-"), pid, F.lit("-2")).alias("id"),
+                          F.col("l_tax").cast("decimal(18,2)").alias("amount"))
+        pays = F.when(F.col("l_linenumber") == 1, F.array(first, second)).otherwise(F.array(first))
+        return (li.select(F.concat(F.lit("ord-"), pid).alias("order_id"), F.explode(pays).alias("p"))
+                .select(F.col("p.id").alias("id"), "order_id", F.col("p.amount").alias("amount")))
 
     # ----------------------------------------------------------- coaching
     @staticmethod
