@@ -38,5 +38,6 @@ def warm_domain(d, params: ReportParams = P) -> None:
 
 
 def warm_legacy(ld, params: ReportParams = P) -> None:
-    _run_waves([[lambda: ld.studios, lambda: ld.remote_clubs, lambda: legacy.hot_seminars(ld, params)],
+    _run_waves([[lambda: ld.studios, lambda: ld.remote_clubs, lambda: ld.salons,
+                 lambda: legacy.hot_seminars(ld, params)],
                 [lambda: legacy.program_salons(ld, params)]])
