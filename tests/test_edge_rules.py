@@ -113,3 +113,20 @@ def test_nobrand_salons_exclude_test_region(dom, spark):
     dom2.__dict__.pop("_dimension_memo", None)
     got = {(r.salon_id, r.com_mreg_name) for r in dims.nobrand_salons(dom2, PARAMS).collect()}
     assert got == {(12, "EUROPE")}                                     # ASIA is excluded
+
+
+def test_educator_id_and_role_use_different_priorities(spark):
+    """partimer first for the educator id and name, technolog first for the role lookup."""
+    from types import SimpleNamespace
+    from kpistar.plans import blocks
+    sem = spark.createDataFrame(
+        [(1, None, 5, 7, None, "P5", "T7", "X"), (2, None, None, None, 9, "P", "T", "R9")],
+        "id long, studio_id long, partimer_id long, technolog_id long, partner_id long, "
+        "partimer_full_name string, technolog_full_name string, partner_full_name string")
+    users = spark.createDataFrame([(5, "partimer"), (7, "technolog"), (9, "partner")], "id long, role string")
+    studios = spark.createDataFrame([], "id long, studio_type string")
+    ld = SimpleNamespace(seminars=sem, users=users, studios=studios)
+    ids = {r.id: (r.educater_id, r.educater) for r in blocks.coalesce_chain(ld).collect()}
+    assert ids == {1: (5, "P5"), 2: (9, "R9")}
+    roles = {r.id: r.edu_role for r in blocks.scalar_subquery_lookup(ld).collect()}
+    assert roles == {1: "technolog", 2: "partner"}
