@@ -130,3 +130,17 @@ def test_educator_id_and_role_use_different_priorities(spark):
     assert ids == {1: (5, "P5"), 2: (9, "R9")}
     roles = {r.id: r.edu_role for r in blocks.scalar_subquery_lookup(ld).collect()}
     assert roles == {1: "technolog", 2: "partner"}
+
+
+def test_salon_zero_is_a_salon_and_trip_rule(spark):
+    from types import SimpleNamespace
+    from kpistar.plans import blocks
+    sem = spark.createDataFrame(
+        [(1, 0, True, False), (2, None, False, True), (3, 7, None, True), (4, None, None, False)],
+        "id long, salon_id long, trip boolean, business_trip boolean")
+    ld = SimpleNamespace(seminars=sem)
+    kinds = {r.id: r.place_kind for r in blocks.predicate_not_in_null(ld).collect()}
+    assert kinds == {1: "SALON", 2: "NOT_SALON", 3: "SALON", 4: "NOT_SALON"}   # NOT IN ('0') only tests NULL
+    trips = {r.id: r.trip_flag for r in blocks.case_trip(ld).collect()}
+    # trip IS TRUE -> 1; otherwise (false or NULL) the business-trip flag decides
+    assert trips == {1: 1, 2: 1, 3: 1, 4: 0}
