@@ -144,3 +144,18 @@ def test_salon_zero_is_a_salon_and_trip_rule(spark):
     trips = {r.id: r.trip_flag for r in blocks.case_trip(ld).collect()}
     # trip IS TRUE -> 1; otherwise (false or NULL) the business-trip flag decides
     assert trips == {1: 1, 2: 1, 3: 1, 4: 0}
+
+
+def test_programme_with_null_status_is_empty(spark):
+    from types import SimpleNamespace
+    from kpistar.plans import legacy
+    ld = SimpleNamespace(
+        remote_club_records=spark.createDataFrame(
+            [(None, 1, 10), ("accepted", 2, 11), ("invited", 3, 11)], "status string, club_id int, salon_id int"),
+        remote_clubs=spark.createDataFrame(
+            [(1, "Expert 1997", 1), (2, "Emotion 1996", 1), (3, "МБК 1997", 1)], "id int, name string, brand_id int"),
+        salons=spark.createDataFrame([(10,), (11,), (12,)], "id long"))
+    got = {(r.salon_id, r.club, r.emotion) for r in legacy.program_salons(ld).collect()}
+    assert got == {(10, "Empty | Empty", "Empty | Empty"),      # matched programme, NULL status
+                   (11, "Empty | 1997", "1996 | Empty"),
+                   (12, "Empty | Empty", "Empty | Empty")}      # no programme at all
