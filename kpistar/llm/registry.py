@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from kpistar.llm.decontaminate import op3_decontaminate
 from kpistar.llm.minhash_dedup import op10_minhash_dedup
+from kpistar.llm.quality import op6_quality
 
 QUERIES = {
+    "op3_decontaminate": op3_decontaminate,
+    "op6_quality": op6_quality,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
 

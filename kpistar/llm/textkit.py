@@ -67,13 +67,17 @@ def pieces(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
         lo = hi
 
 
-def words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+#: Separators for words of letters and digits only: every other ASCII byte.
+NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def words(buf: np.ndarray, offs: np.ndarray, sep: np.ndarray = _SEP) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, document, hash) of every word of a slice, in text order."""
     n = len(buf)
     if not n:
         e = np.zeros(0, np.int64)
         return e, e, e, np.zeros(0, np.uint64)
-    on = ~_SEP[buf]
+    on = ~sep[buf]
     first = on.copy()
     first[1:] &= ~on[:-1]
     borders = offs[1:-1]
