@@ -1,0 +1,140 @@
+"""Secret scans: fixed patterns plus character Markov models, in DataFrame functions only.
+
+Base spans are the leftmost non-overlapping matches of three patterns (matches that
+fail their length test are consumed, then dropped).  Positions come from splitting the
+text at the matches: a match starts after the lengths of all pieces and matches before
+it.  Further spans are runs of ``candidate`` characters that a first-order Markov model
+of random strings explains better than one of ordinary identifiers, by at least
+``margin`` nats; runs that overlap a base span add nothing.
+
+The two models are add-one smoothed counts of character pairs of labelled samples
+(text, label 1 random / 0 ordinary).  ``labelled_samples`` takes them from at most about
+``sample_rows`` documents, chosen by hash: strings that the base patterns found are
+random, long words of letters are ordinary.  The models are one table of 128 x 128
+ratios, whatever the input.
+
+Positions count code points, ends are exclusive.  A null text is empty and has no span;
+without samples both models are uniform and nothing is added; rows with equal or null
+doc_id are scanned one by one.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kpistar.llm.shared import documents
+
+# The base patterns, the kinds in the order in which spans of equal start are listed.
+ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ACCESS = r"AKIA[A-Z0-9]{16,}"          # of AKIA[A-Z0-9]+ those of 20 characters and more
+HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"    # of [0-9a-f]+ those of 24 characters and more
+KINDS = ("assign", "access", "hex", "markov")
+
+
+@dataclass(frozen=True)
+class Params:
+    candidate: str = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"
+    ordinary: str = r"(?<![A-Za-z0-9_])[A-Za-z_]{8,}(?![A-Za-z0-9_])"
+    margin: float = 10.0
+    sample_rows: int = 5000
+    mask: str = "[SECRET]"
+
+
+def _quoted(pattern: str) -> str:
+    return "r'" + pattern.replace("'", r"\x27") + "'"
+
+
+def _found(pattern: str, kind: str, passes: str = "true") -> Column:
+    """array<struct<start,kind,end>> of the matches x that pass a test."""
+    q = _quoted(pattern)
+    k = KINDS.index(kind)
+    return F.expr(f"""
+        if(_text rlike {q},
+           aggregate(
+             zip_with(slice(split(_text, {q}, -1), 1, size(regexp_extract_all(_text, {q}, 0))), regexp_extract_all(_text, {q}, 0),
+                      (p, x) -> struct(length(p) as gap, length(x) as len, {passes} as ok)),
+             struct(0 as pos, cast(array() as array<struct<start:int,kind:int,end:int>>) as out),
+             (s, x) -> struct(s.pos + x.gap + x.len as pos,
+                              if(x.ok, concat(s.out, array(struct(s.pos + x.gap as start, {k} as kind, s.pos + x.gap + x.len as end))), s.out) as out),
+             s -> s.out),
+           cast(array() as array<struct<start:int,kind:int,end:int>>))""")
+
+
+def labelled_samples(docs: DataFrame, p: Params = Params()) -> DataFrame:
+    """(sample, label) strings from about ``sample_rows`` documents, all of a smaller input."""
+    total = docs.count()
+    some = docs.select(F.coalesce("text", F.lit("")).alias("t"))
+    if total > p.sample_rows:
+        some = some.where(F.pmod(F.xxhash64("t"), F.lit(total)) < p.sample_rows)
+    random = F.flatten(F.array(F.expr(f"regexp_extract_all(t, {_quoted(ASSIGN)}, 2)"), *[
+        F.expr(f"regexp_extract_all(t, {_quoted(x)}, 0)") for x in (ACCESS, HEX)]))
+    return some.select(F.explode(random).alias("sample"), F.lit(1).alias("label")).where("length(sample) >= 6").unionByName(
+        some.select(F.explode(F.expr(f"regexp_extract_all(t, {_quoted(p.ordinary)}, 0)")).alias("sample"), F.lit(0).alias("label")))
+
+
+def log_ratios(samples: DataFrame) -> np.ndarray:
+    """log P(b after a | random) - log P(b after a | ordinary) at 128 * a + b."""
+    pair = "transform(sequence(2, size(c)), i -> 128 * ascii(c[i - 2]) + ascii(c[i - 1]))"
+    counted = (samples.where("length(sample) > 1 and sample rlike r'^[!-~]+$'").select("label", F.expr("split(sample, '')").alias("c"))
+               .select("label", F.explode(F.expr(pair)).alias("pair")).groupBy("label", "pair").count().collect())
+    counts = np.ones((2, 128, 128))
+    for label, pair_code, n in counted:
+        counts[label, pair_code // 128, pair_code % 128] += n
+    logs = np.log(counts / counts.sum(2, keepdims=True))
+    return (logs[1] - logs[0]).ravel()
+
+
+def spans(docs: DataFrame, ratios: np.ndarray, p: Params = Params()) -> DataFrame:
+    """``docs`` with the added column spans: array<struct<start,kind,end>>, sorted."""
+    table = F.expr(f"cast(split('{','.join(f'{x:.5f}' for x in ratios)}', ',') as array<double>)")
+    out = docs.withColumn("_text", F.coalesce("text", F.lit("")))
+    for kind, pattern, passes in (("assign", ASSIGN, f"length(regexp_extract(x, {_quoted(ASSIGN)}, 2)) >= 6"), ("access", ACCESS, "true"), ("hex", HEX, "true")):
+        out = out.withColumn(f"_{kind}", _found(pattern, kind, passes))
+    out = out.withColumn("_base", F.concat("_assign", "_access", "_hex")).withColumn("_near", _found(p.candidate, "markov"))
+    score = """aggregate(zip_with(split(substring(_text, x.start + 1, x.end - x.start), ''), slice(split(substring(_text, x.start + 1, x.end - x.start), ''), 2, x.end - x.start),
+                                  (a, b) -> if(b is null, 0, 128 * ascii(a) + ascii(b) + 1)),
+                         0D, (s, i) -> s + if(i = 0, 0D, element_at(_ratios, i)))"""
+    out = out.withColumn("_ratios", table).withColumn("_added", F.expr(
+        f"filter(_near, x -> not exists(_base, y -> y.start < x.end and x.start < y.end) and {score} >= {p.margin})"))
+    return out.withColumn("spans", F.expr("array_sort(concat(_base, _added))")).drop(
+        "_text", "_assign", "_access", "_hex", "_base", "_near", "_ratios", "_added")
+
+
+def listed(column: Column | str, kinds: tuple[str, ...] = KINDS) -> Column:
+    """Spans of those kinds as kind:start:end, comma-joined."""
+    names = "array('" + "','".join(KINDS) + "')"
+    return F.array_join(F.transform(F.filter(column, lambda x: x["kind"].isin([KINDS.index(k) for k in kinds])), lambda x: F.concat(
+        F.element_at(F.expr(names), x["kind"] + 1), F.lit(":"), x["start"].cast("string"), F.lit(":"), x["end"].cast("string"))), ",")
+
+
+def masked(text: Column, found: Column, mask: str) -> Column:
+    """The text with each maximal stretch of overlapping spans replaced."""
+    start = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
+
+    def step(s, x):
+        fresh = x["start"] >= s["pos"]
+        return F.struct(F.greatest(s["pos"], x["end"]).alias("pos"), F.when(
+            fresh, F.concat(s["out"], F.substring(text, s["pos"] + 1, x["start"] - s["pos"]), F.lit(mask))).otherwise(s["out"]).alias("out"))
+
+    done = F.aggregate(found, start, step, lambda s: F.concat(s["out"], F.substring(text, s["pos"] + 1, F.length(text))))
+    return F.when(F.size(found) > 0, done).otherwise(text)
+
+
+def without_secrets(docs: DataFrame, p: Params = Params()) -> DataFrame:
+    """``docs`` with every span of ``text`` masked and ``n_chars``, where there is one, counted anew."""
+    out = spans(docs, log_ratios(labelled_samples(docs, p)), p).withColumn("text", masked(F.col("text"), F.col("spans"), p.mask))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.select(docs.columns)
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = spans(docs, log_ratios(labelled_samples(docs)))
+    count = lambda k: F.size(F.filter("spans", lambda x: x["kind"] == KINDS.index(k))).cast("long")
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in KINDS[:3]],
+                        F.sha2(listed("spans", KINDS[:3]), 256).alias("base_sha256"), listed("spans").alias("spans"))
