@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from kpistar.llm.decontaminate import op3_decontaminate
 from kpistar.llm.minhash_dedup import op10_minhash_dedup
+from kpistar.llm.pieces import op8_pieces
 from kpistar.llm.quality import op6_quality
 from kpistar.llm.secrets import op5_secrets
+from kpistar.llm.tokencount import op7_token_counts
 
 QUERIES = {
     "op3_decontaminate": op3_decontaminate,
     "op5_secrets": op5_secrets,
     "op6_quality": op6_quality,
+    "op7_token_counts": op7_token_counts,
+    "op8_pieces": op8_pieces,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
 
