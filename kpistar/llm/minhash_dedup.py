@@ -186,7 +186,8 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
             .select("x", "y").distinct().withColumn("meet", F.xxhash64("x", "y")))
 
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(block.select("cls")).distinct()
-    sets = scratch.put(docs.join(wanted.withColumnRenamed("cls", "doc_id"), "doc_id", "left_semi")
+    # the ids grow with the corpus: a shuffle at every size, never a broadcast
+    sets = scratch.put(docs.join(wanted.withColumnRenamed("cls", "doc_id").hint("merge"), "doc_id", "left_semi")
                        .mapInArrow(_sets(p), "cls long, shingles array<bigint>").where("size(shingles) > 0"), "sets")
     both = F.size(F.array_intersect("set_a", "set_b"))
     confirmed = (pairs.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("set_a")), "a")
