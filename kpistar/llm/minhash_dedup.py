@@ -209,5 +209,13 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
                       F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
+def without_near_duplicates(docs: DataFrame, p: Params = Params(k=5)) -> DataFrame:
+    """One row, all columns, of each group of near-duplicates; rows without a doc_id stay as they are."""
+    keep = near_duplicates(docs, p).where("kept and doc_id is not null").select("doc_id").distinct()
+    # most ids are kept, so they grow with the corpus: a shuffle at every size
+    one = docs.join(keep.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    return one.unionByName(docs.where("doc_id is null"))
+
+
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))

@@ -257,10 +257,6 @@ class _Held:
         return isinstance(other, _Held)
 
 
-def _texts(batch: pa.RecordBatch) -> list[str]:
-    return batch.column(batch.schema.get_field_index("text")).fill_null("").to_pylist()
-
-
 def _digests(source, digest: str, p: Params):
     def run(batches):
         model = _loaded(digest, p, _Held(source))
@@ -281,9 +277,13 @@ def _digests(source, digest: str, p: Params):
 def _encoded(source, digest: str, p: Params):
     def run(batches):
         model = _loaded(digest, p, _Held(source))
+        begin, end = (np.array([x], "<u4").tobytes() for x in (model.begin, model.end))
         for b in batches:
-            ids = [[model.begin, *np.frombuffer(model.encode(t), "<u4").tolist(), model.end] for t in _texts(b)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.list_(pa.int32()))], names=[*b.schema.names, "ids"])
+            text = b.column(b.schema.get_field_index("text"))
+            ids = [begin + model.encode(text[i].as_py() or "") + end for i in range(len(b))]
+            ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
+            values = np.frombuffer(b"".join(ids), "<i4")
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.ListArray.from_arrays(ends, values)], names=[*b.schema.names, "ids"])
     return run
 
 

@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+from kpistar.llm import chat, vectors
 from kpistar.llm.decontaminate import op3_decontaminate
+from kpistar.llm.language import op9_language
 from kpistar.llm.minhash_dedup import op10_minhash_dedup
 from kpistar.llm.pieces import op8_pieces
 from kpistar.llm.quality import op6_quality
-from kpistar.llm.secrets import op5_secrets
+from kpistar.llm.secret_scan import op5_secrets
 from kpistar.llm.tokencount import op7_token_counts
 
 QUERIES = {
+    "op1_vectors": vectors.op1_vectors,
     "op3_decontaminate": op3_decontaminate,
+    "op4_chat": chat.op4_chat,
     "op5_secrets": op5_secrets,
     "op6_quality": op6_quality,
     "op7_token_counts": op7_token_counts,
     "op8_pieces": op8_pieces,
+    "op9_language": op9_language,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_vectors": vectors.ORACLE_SQL,
+    "op4_chat": chat.ORACLE_SQL,
+}
