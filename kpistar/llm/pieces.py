@@ -31,6 +31,7 @@ import public_tokenizers
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from kpistar.llm.shared import documents, ship
 
@@ -300,7 +301,7 @@ def encoded(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """``docs`` with ``ids`` (array<int>, begin and end ids included) of ``text``."""
     ship(docs.sparkSession)
     docs = docs.drop("ids")
-    schema = docs.schema.add("ids", "array<int>")
+    schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
     return docs.mapInArrow(_encoded(*_model(docs.sparkSession, p), p), schema)
 
 
@@ -308,7 +309,7 @@ def decoded(rows: DataFrame, p: Params = Params()) -> DataFrame:
     """``rows`` with the text ``decoded`` of ``ids``."""
     ship(rows.sparkSession)
     rows = rows.drop("decoded")
-    return rows.mapInArrow(_decoded(*_model(rows.sparkSession, p), p), rows.schema.add("decoded", "string"))
+    return rows.mapInArrow(_decoded(*_model(rows.sparkSession, p), p), T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())]))
 
 
 def digests(docs: DataFrame, p: Params = Params()) -> DataFrame:
