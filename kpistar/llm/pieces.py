@@ -213,7 +213,7 @@ class Pieces:
         except UnicodeDecodeError:
             text = _lenient(joined)
         first = next((i for i in ids if self.raw[i]), None)
-        return text[1:] if first is not None and self.raw[first][:1] == b" " and first != self.unknown else text
+        return text[1:] if first is not None and self.text[first].startswith(SPACE) else text
 
 
 def _lenient(data: bytes) -> str:
