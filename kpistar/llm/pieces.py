@@ -102,6 +102,7 @@ class Pieces:
         self.units: dict[str, bytes] = {}
         self.cut = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
         self.raw = [b"" if sp.is_control(i) else bytes([int(t[3:5], 16)]) if sp.is_byte(i) else t.replace(SPACE, " ").encode() for i, t in enumerate(texts)]
+        self.silent = {i for i in range(n) if sp.is_control(i)}
         self.raw[self.unknown] = " ⁇ ".encode()
         self.length = [len(t) for t in texts]
 
@@ -207,13 +208,24 @@ class Pieces:
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; begin, end and other control ids are silent, invalid bytes become U+FFFD."""
-        joined = b"".join(map(self.raw.__getitem__, ids))
-        try:
-            text = joined.decode()
-        except UnicodeDecodeError:
-            text = _lenient(joined)
-        first = next((i for i in ids if self.raw[i]), None)
-        return text[1:] if first is not None and self.text[first].startswith(SPACE) else text
+        lo, hi = 0, len(ids)
+        while lo < hi and ids[lo] in self.silent:
+            lo += 1
+        while hi > lo and ids[hi - 1] in self.silent:
+            hi -= 1
+        if lo == hi:
+            return ""
+        parts = [[]]
+        if self.silent.isdisjoint(ids[lo:hi]):
+            parts = [ids[lo:hi]]
+        else:                                       # a control id ends a run of byte pieces
+            for i in ids[lo:hi]:
+                if i in self.silent:
+                    parts.append([])
+                else:
+                    parts[-1].append(i)
+        text = "".join(_lenient(b"".join(map(self.raw.__getitem__, x))) for x in parts)
+        return text[1:] if self.text[ids[lo]].startswith(SPACE) else text
 
 
 def _lenient(data: bytes) -> str:
