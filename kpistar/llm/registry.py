@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from kpistar.llm import chat, vectors
+from kpistar.llm import chat, minhash_dedup, vectors
 from kpistar.llm.decontaminate import op3_decontaminate
 from kpistar.llm.language import op9_language
-from kpistar.llm.minhash_dedup import op10_minhash_dedup
 from kpistar.llm.pieces import op8_pieces
 from kpistar.llm.quality import op6_quality
 from kpistar.llm.secret_scan import op5_secrets
@@ -20,10 +19,11 @@ QUERIES = {
     "op7_token_counts": op7_token_counts,
     "op8_pieces": op8_pieces,
     "op9_language": op9_language,
-    "op10_minhash_dedup": op10_minhash_dedup,
+    "op10_minhash_dedup": minhash_dedup.op10_minhash_dedup,
 }
 
 ORACLE: dict[str, str] = {
     "op1_vectors": vectors.ORACLE_SQL,
     "op4_chat": chat.ORACLE_SQL,
+    "op10_minhash_dedup": minhash_dedup.ORACLE_SQL,
 }
