@@ -41,9 +41,9 @@ SPACE = "▁"
 @dataclass(frozen=True)
 class Params:
     model: str = public_tokenizers.path("piece_bpe_32k.model")
-    cached_units: int = 300_000     # of each worker; the cache starts anew beyond it
+    cached_units: int = 120_000     # of each worker; the cache starts anew beyond it
     longest_cached: int = 48
-    cached_pairs: int = 500_000
+    cached_pairs: int = 200_000
 
 
 def _fields(data: bytes):

@@ -44,7 +44,7 @@ class Params:
     limit: int = 1024
     sample_rows: int = 2000
     table_entries: int = 50_000
-    cached: int = 300_000          # pre-tokens of each worker; the cache starts anew beyond it
+    cached: int = 150_000          # pre-tokens of each worker; the cache starts anew beyond it
     longest_cached: int = 48
 
 
