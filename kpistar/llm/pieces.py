@@ -41,7 +41,7 @@ SPACE = "▁"
 @dataclass(frozen=True)
 class Params:
     model: str = public_tokenizers.path("piece_bpe_32k.model")
-    cached_units: int = 120_000     # of each worker; the cache starts anew beyond it
+    cached_units: int = 160_000     # of each worker, in two halves; the older half goes when the newer is full
     longest_cached: int = 48
     cached_pairs: int = 200_000
 
@@ -100,6 +100,7 @@ class Pieces:
         self.pairs: dict[int, bool] = {}
         self.splits: dict[int, tuple] = {}
         self.units: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.cut = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
         self.raw = [b"" if sp.is_control(i) else bytes([int(t[3:5], 16)]) if sp.is_byte(i) else t.replace(SPACE, " ").encode() for i, t in enumerate(texts)]
         self.silent = {i for i in range(n) if sp.is_control(i)}
@@ -190,10 +191,13 @@ class Pieces:
         return out
 
     def _unit(self, unit: str) -> bytes:
-        found = array("I", self.encode_unit(unit)).tobytes()
+        found = self.older.get(unit)
+        if found is None:
+            found = array("I", self.encode_unit(unit)).tobytes()
         if len(unit) <= self.p.longest_cached:
-            if len(self.units) >= self.p.cached_units:
-                self.units.clear()
+            if len(self.units) >= self.p.cached_units // 2:
+                # what the last half of the cache has not used goes
+                self.units, self.older = {}, self.units
             self.units[unit] = found
         if len(self.pairs) > self.p.cached_pairs:
             self.pairs.clear()
@@ -203,8 +207,8 @@ class Pieces:
         """The ids as little-endian unsigned 32-bit integers, without begin and end ids."""
         if not text:
             return b""
-        get, miss = self.units.get, self._unit
-        return b"".join([get(u) or miss(u) for u in self.cut.findall(SPACE + text.replace(" ", SPACE))])
+        miss = self._unit
+        return b"".join([self.units.get(u) or miss(u) for u in self.cut.findall(SPACE + text.replace(" ", SPACE))])
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; begin, end and other control ids are silent, invalid bytes become U+FFFD."""

@@ -44,7 +44,7 @@ class Params:
     limit: int = 1024
     sample_rows: int = 2000
     table_entries: int = 50_000
-    cached: int = 150_000          # pre-tokens of each worker; the cache starts anew beyond it
+    cached: int = 160_000          # pre-tokens of each worker, in two halves; the older half goes when the newer is full
     longest_cached: int = 48
 
 
@@ -57,7 +57,7 @@ class Counts(dict):
         if spec["normalizer"] or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True):
             raise ValueError("only byte-level tokenizers without a normalizer are supported")
         super().__init__(frequent)
-        self.p, self.frequent = p, frequent
+        self.p, self.frequent, self.older = p, frequent, {}
         self.tokenizer = Tokenizer.from_str(data)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -69,9 +69,13 @@ class Counts(dict):
         self.unsettled = regex.compile(f"[^{SETTLED}]")
 
     def __missing__(self, token: str) -> int:
-        n = len(self.tokenizer.encode(token, add_special_tokens=False).ids)
+        n = self.older.get(token)
+        if n is None:
+            n = len(self.tokenizer.encode(token, add_special_tokens=False).ids)
         if len(token) <= self.p.longest_cached:
-            if len(self) >= len(self.frequent) + self.p.cached:
+            if len(self) >= len(self.frequent) + self.p.cached // 2:
+                # what the last half of the cache has not used goes
+                self.older = dict(self)
                 self.clear()
                 self.update(self.frequent)
             self[token] = n
