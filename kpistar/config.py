@@ -28,11 +28,6 @@ class ReportParams:
     legacy_salon_period: tuple = (("1996-01-01", "1996-04-01"), ("1997-01-01", "1997-04-01"))
     # Name of the commercial macro-region excluded as test data.
     excluded_mreg: str = "ASIA"
-    # Size bound (bytes) below which a dimension side may be broadcast.
-    broadcast_limit: int = 32 * 1024 * 1024
-    # Largest per-event (per-seminar) participant group handled by one task; at or
-    # above it the skew-safe plans (split joins, aggregated measures) are used.
-    hot_group_rows: int = 1_000_000
 
     @property
     def tenant_brand_id(self) -> int | None:

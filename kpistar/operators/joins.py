@@ -8,10 +8,18 @@ runtime from real shuffle statistics).  Fact-to-fact joins never get a hint.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_LIMIT = 64 * 1024 * 1024
+#: Session setting: largest estimated size (bytes) of a side that is broadcast, and its default.
+LIMIT_KEY, DEFAULT_LIMIT = "spark.kpistar.broadcastLimit", 32 * 1024 * 1024
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(LIMIT_KEY, str(DEFAULT_LIMIT)))
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -23,15 +31,18 @@ def estimated_bytes(df: DataFrame) -> int:
         return 1 << 62
 
 
-def bounded_broadcast(df: DataFrame, limit: int = DEFAULT_LIMIT) -> DataFrame:
-    """``broadcast(df)`` if its estimated size is at most ``limit``, else ``df``."""
-    return F.broadcast(df) if estimated_bytes(df) <= limit else df
+def is_bounded(df: DataFrame) -> bool:
+    return estimated_bytes(df) <= broadcast_limit(df)
+
+
+def bounded_broadcast(df: DataFrame) -> DataFrame:
+    """``broadcast(df)`` if its estimated size is within the session's limit, else ``df``."""
+    return F.broadcast(df) if is_bounded(df) else df
 
 
-def lookup(left: DataFrame, dim: DataFrame, on, how: str = "left",
-           limit: int = DEFAULT_LIMIT) -> DataFrame:
+def lookup(left: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
     """Join a dimension (N:1 or small 1:N) to ``left``, broadcasting it when bounded."""
-    return left.join(bounded_broadcast(dim, limit), on, how)
+    return left.join(bounded_broadcast(dim), on, how)
 
 
 def anti_orphans(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
@@ -48,11 +59,6 @@ def anti_orphans(left: DataFrame, right: DataFrame, left_key: str, right_key: st
     return out
 
 
-def null_safe_key(col: Column) -> Column:
-    """Join key helper for keys where NULL must never match."""
-    return F.when(col.isNotNull(), col)
-
-
 def fact(df: DataFrame) -> DataFrame:
     """Mark a fact-grain join side: never broadcast, shuffle both sides (sort-merge).
 
@@ -63,10 +69,9 @@ def fact(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
-def outer_fanout(left: DataFrame, right: DataFrame, left_key: Column, right_key: str,
-                 hot: bool = True) -> DataFrame:
-    """``left LEFT JOIN right ON left_key = right.right_key`` where ``right`` is a
-    fact that may hold a hot key.
+def outer_fanout(left: DataFrame, right: DataFrame, on: list[tuple[Column, str]]) -> DataFrame:
+    """``left LEFT JOIN right`` on (left key, name of the right key) pairs, where ``right``
+    is a fact that may hold a hot key.
 
     A skewed partition of the right (null-supplying) side of a left outer join
     cannot be split by AQE, so one hot key would land in one task.  The same
@@ -75,31 +80,21 @@ def outer_fanout(left: DataFrame, right: DataFrame, left_key: Column, right_key:
         (left INNER JOIN right)  UNION ALL  (left ANTI JOIN distinct right keys, right columns NULL)
 
     The inner join's skewed partitions can be split on either side, and the
-    anti join only sees the distinct keys (pre-aggregated map-side).  With
-    ``hot=False`` (the plan-time check found every key group bounded) it is the
-    plain left join.
+    anti join only sees the distinct keys (pre-aggregated map-side).
     """
-    if not hot:
-        return left.join(fact(right), left_key == right[right_key], "left")
-    inner = left.join(fact(right), left_key == right[right_key], "inner")
-    keys = right.select(F.col(right_key).alias("_fanout_key")).distinct()
-    lone = left.join(keys, left_key == keys["_fanout_key"], "left_anti")
-    for f in right.schema.fields:
-        lone = lone.withColumn(f.name, F.lit(None).cast(f.dataType))
+    inner = left.join(fact(right), reduce(and_, [k == right[r] for k, r in on]), "inner")
+    keys = right.select(*[F.col(r).alias(f"_fanout_key{i}") for i, (_, r) in enumerate(on)]).distinct()
+    lone = left.join(fact(keys), reduce(and_, [k == keys[f"_fanout_key{i}"] for i, (k, _) in enumerate(on)]), "left_anti")
+    lone = lone.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields])
     return inner.unionByName(lone.select(*inner.columns))
 
 
-def left_join_many(left: DataFrame, right: DataFrame, left_key: Column, right_key: str,
-                   hot: bool, limit: int = DEFAULT_LIMIT) -> DataFrame:
-    """``left LEFT JOIN right`` for a 1:N right side (memberships, posts).
-
-    A right side under the size bound is broadcast (no shuffle, so no skew);
-    otherwise the join is ``outer_fanout`` (split when the plan-time check found
-    a hot key, plain shuffle join when every key group is bounded).
-    """
-    if estimated_bytes(right) <= limit:
-        return left.join(F.broadcast(right), left_key == right[right_key], "left")
-    return outer_fanout(left, right, left_key, right_key, hot)
+def left_join_many(left: DataFrame, right: DataFrame, on: list[tuple[Column, str]]) -> DataFrame:
+    """``left LEFT JOIN right`` for a 1:N right side (memberships, posts): a bounded right
+    side is broadcast (no shuffle, so no skew), any other goes through ``outer_fanout``."""
+    if is_bounded(right):
+        return left.join(F.broadcast(right), reduce(and_, [k == right[r] for k, r in on]), "left")
+    return outer_fanout(left, right, on)
 
 
 def full_outer_dim(fact_side: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:

@@ -6,12 +6,12 @@ from kpistar.oracle import g2
 
 PERIOD = "e.started_at >= TIMESTAMP '1996-01-01' AND e.started_at < TIMESTAMP '1997-09-01'"
 
-ROWS = ("o_rows", f"""
-SELECT e.id AS event_id, e.started_at, e.seminar_id, p.id AS prt_id, p.user_id, p.discount_id, us.salon_id
+ROWS = ("o_rows", """
+SELECT e.id AS event_id, e.started_at, e.seminar_id, p.id AS prt_id, p.user_id, p.discount_id, pu.id AS pu_id, us.salon_id
 FROM seminar_events e
 LEFT JOIN participations p ON e.id = p.seminar_event_id
-LEFT JOIN users_salons us ON p.user_id = us.user_id
-WHERE {PERIOD}""")
+LEFT JOIN users pu ON p.user_id = pu.id
+LEFT JOIN users_salons us ON pu.id = us.user_id""")
 
 ORD = "ORDER BY prt_id NULLS LAST, salon_id NULLS LAST"
 MUST = ("CASE WHEN s.cost <> 0 THEN CASE WHEN dc.percent_value IS NOT NULL "
@@ -85,7 +85,6 @@ SELECT e.id AS event_id, count(p.id) AS participation_rows,
   count(DISTINCT p.user_id) AS distinct_users
 FROM seminar_events e LEFT JOIN participations p ON e.id = p.seminar_event_id
 LEFT JOIN (SELECT user_id, count(*) AS n_salons FROM users_salons GROUP BY user_id) m ON p.user_id = m.user_id
-WHERE {PERIOD}
 GROUP BY e.id""",
     "distinct_rows": "SELECT DISTINCT educator_id, salon_id FROM seminar_events",
     "window_first_row": f"""
@@ -98,20 +97,20 @@ SELECT event_id, prt_id, salon_id, row_number() OVER (PARTITION BY event_id {ORD
     "window_count": f"""
 SELECT event_id, prt_id, salon_id,
   CASE WHEN row_number() OVER (PARTITION BY event_id {ORD}) = 1
-       THEN count(user_id) OVER (PARTITION BY event_id) END AS users_count,
+       THEN count(pu_id) OVER (PARTITION BY event_id) END AS users_count,
   CASE WHEN row_number() OVER (PARTITION BY event_id {ORD}) = 1
        THEN count(salon_id) OVER (PARTITION BY event_id) END AS clients_count
 FROM o_rows""",
     "window_running_count": """
 SELECT event_id, prt_id, salon_id,
-  count(user_id) OVER (PARTITION BY event_id ORDER BY prt_id NULLS LAST) AS user_num FROM o_rows""",
+  count(pu_id) OVER (PARTITION BY event_id ORDER BY prt_id NULLS LAST) AS user_num FROM o_rows""",
     "window_dedup_person": f"""
 SELECT event_id, prt_id, salon_id,
   CASE WHEN row_number() OVER (PARTITION BY event_id, user_id {ORD}) = 1 THEN user_id END AS user_id
 FROM o_rows""",
     "window_presence_flag": """
 SELECT event_id, prt_id, salon_id,
-  CASE WHEN count(user_id) OVER (PARTITION BY event_id) > 0 THEN 'attend' ELSE 'no_users' END
+  CASE WHEN count(pu_id) OVER (PARTITION BY event_id) > 0 THEN 'attend' ELSE 'no_users' END
     AS status_seminar_users
 FROM o_rows""",
     "window_sum_case": f"""
@@ -220,8 +219,6 @@ FROM g1_seminars s""",
     "agg_group_count": """
 SELECT s.id AS smr_id, s.started_at, u.id AS usr_id, u.full_name, count(u.id) AS users_count
 FROM g1_seminars s LEFT JOIN g1_seminar_users su ON s.id = su.seminar_id LEFT JOIN g1_users u ON su.user_id = u.id
-WHERE (s.started_at >= TIMESTAMP '1996-01-01' AND s.started_at < TIMESTAMP '1996-04-01')
-   OR (s.started_at >= TIMESTAMP '1997-01-01' AND s.started_at < TIMESTAMP '1997-04-01')
 GROUP BY s.id, s.started_at, u.id, u.full_name""",
     "date_interval_days": """
 SELECT s.id AS smr_id, b.master_id, b.booking_at,
@@ -229,7 +226,7 @@ SELECT s.id AS smr_id, b.master_id, b.booking_at,
   CASE WHEN date_part('day', s.started_at - b.booking_at) = 0 THEN 'on_seminar'
        WHEN date_part('day', s.started_at - b.booking_at) < 0 THEN 'after_seminar'
        WHEN date_part('day', s.started_at - b.booking_at) > 0 THEN 'pre_booking' ELSE '' END AS status_booking
-FROM g1_seminars s JOIN g1_booking b ON s.id = b.seminar_id""",
+FROM g1_seminars s LEFT JOIN g1_booking b ON s.id = b.seminar_id""",
     "math_base_price": """
 SELECT s.id, CAST(CASE WHEN d.coefficient IS NOT NULL THEN d.coefficient * t.base_price ELSE t.base_price END
   AS DECIMAL(18,4)) AS base_price

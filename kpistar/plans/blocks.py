@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from kpistar.config import ReportParams
 from kpistar.functions import (at_report_tz, base_price, coalesce_case, decode, discount_due, dmy,
-                               interval_days, is_true, period_filter, pg_concat, pg_concat_op, pg_int,
+                               interval_days, is_integral, is_true, period_filter, pg_concat, pg_concat_op, pg_int,
                                presence_flag, when_present, year_ranges)
 from kpistar.operators.joins import bounded_broadcast, fact, left_join_many, lookup, outer_fanout
 from kpistar.operators.ordering import pg_asc
@@ -21,7 +21,7 @@ from kpistar.operators.skewsafe import first_and_totals, running_count_range, ru
 from kpistar.operators.windows import emit_once
 from kpistar.plans import dims, legacy
 from kpistar.plans.dims import ROLE_BY_LEVEL, TEAM_BY_STRUCTURE
-from kpistar.plans.reports import hot_events, hot_members, kpi_brand_report, kpi_class as kpi_class_expr
+from kpistar.plans.reports import kpi_brand_report, kpi_class as kpi_class_expr
 
 P = ReportParams()
 
@@ -30,8 +30,7 @@ def _pref(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{prefix}{c}") for c in df.columns])
 
 
-def _bb(df: DataFrame) -> DataFrame:
-    return bounded_broadcast(df, P.broadcast_limit)
+_bb = bounded_broadcast
 
 
 # ------------------------------------------------------------- scans
@@ -44,9 +43,9 @@ def scan_alias(d) -> DataFrame:
 def tenant_filter(ld, params: ReportParams = P) -> DataFrame:
     """Salons ⟕ programmes ON salon AND programme brand = tenant (constant folded)."""
     sln = ld.salons.select(F.col("id").alias("salon_id"))
-    prg = legacy.programs(ld, params).select(
-        F.col("salon_id").alias("p_salon"), "brand", "name_prog", "status")
-    j = sln.join(fact(prg), (F.col("salon_id") == F.col("p_salon")) & (F.col("brand") == F.lit(params.tenant)), "left")
+    prg = legacy.programs(ld, params).where(F.col("brand") == F.lit(params.tenant)).select(
+        F.col("salon_id").alias("p_salon"), "name_prog", "status")
+    j = outer_fanout(sln, prg, [(F.col("salon_id"), "p_salon")])
     return j.select("salon_id", "name_prog", "status")
 
 
@@ -193,7 +192,7 @@ def join_left_fanout(d) -> DataFrame:
     """Event ⟕ participations, 1:N (events without participants keep one NULL row)."""
     e = d.seminar_events.select("id")
     p = d.participations.select(F.col("id").alias("prt_id"), "seminar_event_id", "user_id")
-    return outer_fanout(e, p, e.id, "seminar_event_id", hot_events(d, P)).select(F.col("id").alias("event_id"), "prt_id", "user_id")
+    return outer_fanout(e, p, [(e.id, "seminar_event_id")]).select(F.col("id").alias("event_id"), "prt_id", "user_id")
 
 
 def join_left_composite(d) -> DataFrame:
@@ -228,11 +227,11 @@ def join_left_expr_key(ld, params: ReportParams = P) -> DataFrame:
     picked = F.when(name.like(legacy.SALON_CLUB_PATTERNS[0]), F.col("status")).when(
         name.like(legacy.SALON_CLUB_PATTERNS[1]), F.col("status"))
     spp = (legacy.remote_programs_all(ld)
-           .select(F.col("salon_id").alias("p_salon"), "brand_id", "name_prog", "status", picked.alias("picked")))
+           .where((F.col("brand_id") == F.lit(params.tenant_brand_id)) & picked.isin(*legacy.SALON_CLUB_STATUSES))
+           .select(F.col("salon_id").alias("p_salon"), "status"))
     key = F.coalesce(F.col("salon_id"), F.col("mng_id"))
-    j = (u.join(_bb(mng), F.col("salon_id").isNull() & (F.col("id") == F.col("salon_manager_id")), "left")
-         .join(fact(spp), (key == F.col("p_salon")) & (F.col("brand_id") == F.lit(params.tenant_brand_id))
-               & F.col("picked").isin(*legacy.SALON_CLUB_STATUSES), "left"))
+    j = u.join(_bb(mng), F.col("salon_id").isNull() & (F.col("id") == F.col("salon_manager_id")), "left")
+    j = outer_fanout(j, spp, [(key, "p_salon")])
     return j.select("id", key.alias("salon_key"), F.col("status").alias("club"))
 
 
@@ -243,7 +242,7 @@ def join_role_playing(d) -> DataFrame:
     p = d.participations.select(F.col("id").alias("prt_id"), "seminar_event_id", F.col("user_id").alias("p_user"))
     pu = _pref(d.users, "pu_")
     j = e.join(_bb(edu), F.col("educator_id") == F.col("edu_id"), "left")
-    j = (outer_fanout(j, p, F.col("id"), "seminar_event_id", hot_events(d, P))
+    j = (outer_fanout(j, p, [(F.col("id"), "seminar_event_id")])
          .join(_bb(pu), F.col("p_user") == F.col("pu_id"), "left"))
     return j.select(F.col("id").alias("event_id"), "prt_id",
                     pg_concat_op(F.col("edu_first_name"), " ", F.col("edu_last_name")).alias("educator_name"),
@@ -267,21 +266,21 @@ def join_bridge(d) -> DataFrame:
     p = d.participations.select(F.col("id").alias("prt_id"), "user_id")
     us = d.users_salons.select(F.col("user_id").alias("m_user"), "salon_id")
     s = d.salons.select(F.col("id").alias("s_id"), F.col("name").alias("salon_name"))
-    j = (left_join_many(p, us, F.col("user_id"), "m_user", hot_members(d, P), P.broadcast_limit)
+    j = (left_join_many(p, us, [(F.col("user_id"), "m_user")])
          .join(_bb(s), F.col("salon_id") == F.col("s_id"), "left"))
     return j.select("prt_id", "user_id", "salon_id", "salon_name")
 
 
-def audit_fanout(d, params: ReportParams = P) -> DataFrame:
+def audit_fanout(d) -> DataFrame:
     """J17/quality: per event, participation rows vs rows after the membership bridge.
 
     ``inflation`` > 1 shows how much a row-counting measure (users_count)
     is multiplied by memberships; ``distinct_users`` is the strict count.
     """
-    e = d.seminar_events.where(period_filter(F.col("started_at"), params.period, params.report_tz)).select("id")
+    e = d.seminar_events.select("id")
     p = d.participations.select(F.col("id").alias("prt_id"), "seminar_event_id", "user_id")
     per_user = d.users_salons.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_salons"))
-    j = (outer_fanout(e, p, F.col("id"), "seminar_event_id", hot_events(d, P))
+    j = (outer_fanout(e, p, [(F.col("id"), "seminar_event_id")])
          .join(_bb(per_user.withColumnRenamed("user_id", "m_user")), F.col("user_id") == F.col("m_user"), "left"))
     return (j.groupBy(F.col("id").alias("event_id"))
             .agg(F.count("prt_id").alias("participation_rows"),
@@ -291,12 +290,12 @@ def audit_fanout(d, params: ReportParams = P) -> DataFrame:
 
 
 # -------------------------------------------------------- aggregations
-def agg_group_count(ld, params: ReportParams = P) -> DataFrame:
+def agg_group_count(ld) -> DataFrame:
     """A2/A3: ``count(usr.id)`` per (seminar, participant), dependent columns listed in GROUP BY."""
-    s = ld.seminars.where(period_filter(F.col("started_at"), params.legacy_salon_period, "UTC")).select("id", "started_at")
+    s = ld.seminars.select("id", "started_at")
     smu = ld.seminar_users.select(F.col("seminar_id"), F.col("user_id").alias("smu_user"))
     u = ld.users.select(F.col("id").alias("usr_id"), F.col("full_name"))
-    j = (outer_fanout(s, smu, F.col("id"), "seminar_id", legacy.hot_seminars(ld, params))
+    j = (outer_fanout(s, smu, [(F.col("id"), "seminar_id")])
          .join(_bb(u), F.col("smu_user") == F.col("usr_id"), "left"))
     return (j.groupBy(F.col("id").alias("smr_id"), "started_at", "usr_id", "full_name")
             .agg(F.count("usr_id").alias("users_count")))
@@ -308,33 +307,29 @@ def distinct_rows(d) -> DataFrame:
 
 
 # ------------------------------------------------------------ windows
-def _event_rows(d, params: ReportParams = P) -> DataFrame:
-    """Period events ⟕ participations ⟕ memberships (the windowed report grain)."""
-    e = d.seminar_events.where(period_filter(F.col("started_at"), params.period, params.report_tz)).select(
-        F.col("id").alias("event_id"), "started_at", "seminar_id")
+def _event_rows(d) -> DataFrame:
+    """Events ⟕ participations ⟕ participants ⟕ their memberships (the windowed report grain)."""
+    e = d.seminar_events.select(F.col("id").alias("event_id"), "started_at", "seminar_id")
     p = d.participations.select(F.col("id").alias("prt_id"), "seminar_event_id", "user_id", "discount_id")
+    pu = d.users.select(F.col("id").alias("pu_id"))
     us = d.users_salons.select(F.col("user_id").alias("m_user"), "salon_id")
-    return left_join_many(outer_fanout(e, p, F.col("event_id"), "seminar_event_id", hot_events(d, params)),
-                          us, F.col("user_id"), "m_user", hot_members(d, params), params.broadcast_limit)
+    j = outer_fanout(e, p, [(F.col("event_id"), "seminar_event_id")])
+    j = j.join(_bb(pu), F.col("user_id") == F.col("pu_id"), "left")
+    return left_join_many(j, us, [(F.col("pu_id"), "m_user")])
 
 
 ROW_ORDER = ["prt_id", "salon_id"]
 
 
-def _windows(d) -> bool:
-    """Direct windows when the plan-time check bounds every event's group."""
-    return not hot_events(d, P)
-
-
-def _totals(j: DataFrame, aggs: dict, d, part=("event_id",)) -> DataFrame:
-    return first_and_totals(j, list(part), ROW_ORDER, aggs, "_first", windows=_windows(d))
+def _totals(j: DataFrame, aggs: dict, part=("event_id",)) -> DataFrame:
+    return first_and_totals(j, list(part), ROW_ORDER, aggs, "_first")
 
 
 def window_first_row(d) -> DataFrame:
     """Event values emitted on the event's first row only (total order)."""
     j = _event_rows(d)
     smr = d.seminars.select(F.col("id").alias("s_id"), "duration")
-    j = _totals(j.join(_bb(smr), F.col("seminar_id") == F.col("s_id"), "left"), {}, d)
+    j = _totals(j.join(_bb(smr), F.col("seminar_id") == F.col("s_id"), "left"), {})
     return j.select("event_id", "prt_id", "salon_id", emit_once("_first", F.col("duration")).alias("smr_duration"),
                     emit_once("_first", F.col("event_id")).alias("uniq_smr_id"))
 
@@ -343,33 +338,32 @@ def window_row_number(d) -> DataFrame:
     """``row_number() OVER (PARTITION BY event ORDER BY participation)``
     as a bucketed running count (the order is unique inside an event)."""
     j = _event_rows(d).withColumn("_one", F.lit(1))
-    j = running_sum(j, ["event_id"], ROW_ORDER, "_one", "rn", windows=_windows(d))
+    j = running_sum(j, ["event_id"], ROW_ORDER, "_one", "rn")
     return j.select("event_id", "prt_id", "salon_id", F.col("rn").cast("long").alias("rn"))
 
 
 def window_count(d) -> DataFrame:
     """Joined-row counts per event (attendees, client salons), emitted once."""
-    j = _totals(_event_rows(d), {"_users": F.count("user_id"), "_clients": F.count("salon_id")}, d)
+    j = _totals(_event_rows(d), {"_users": F.count("pu_id"), "_clients": F.count("salon_id")})
     return j.select("event_id", "prt_id", "salon_id", emit_once("_first", F.col("_users")).alias("users_count"),
                     emit_once("_first", F.col("_clients")).alias("clients_count"))
 
 
 def window_running_count(d) -> DataFrame:
     """Running count, default RANGE frame: membership ties on a participation share it."""
-    j = running_count_range(_event_rows(d), ["event_id"], "prt_id", "user_id", "user_num",
-                            windows=_windows(d))
+    j = running_count_range(_event_rows(d), ["event_id"], "prt_id", "pu_id", "user_num")
     return j.select("event_id", "prt_id", "salon_id", "user_num")
 
 
 def window_dedup_person(d) -> DataFrame:
     """Participant id emitted once per (event, participant); two partition columns."""
-    j = _totals(_event_rows(d), {}, d, part=("event_id", "user_id"))
+    j = _totals(_event_rows(d), {}, part=("event_id", "user_id"))
     return j.select("event_id", "prt_id", "salon_id", emit_once("_first", F.col("user_id")).alias("user_id"))
 
 
 def window_presence_flag(d) -> DataFrame:
-    """W8/M5: 'attend' when the event has any participant row, else 'no_users'."""
-    j = _totals(_event_rows(d), {"_users": F.count("user_id")}, d)
+    """W8/M5: 'attend' when the event has any participant with a user row, else 'no_users'."""
+    j = _totals(_event_rows(d), {"_users": F.count("pu_id")})
     return j.select("event_id", "prt_id", "salon_id",
                     F.when(F.col("_users") > 0, "attend").otherwise("no_users").alias("status_seminar_users"))
 
@@ -381,8 +375,8 @@ def window_sum_case(d) -> DataFrame:
     dsc = d.discounts.select(F.col("id").alias("d_id"), "percent_value")
     j = (j.join(_bb(smr), F.col("seminar_id") == F.col("s_id"), "left")
          .join(_bb(dsc), F.col("discount_id") == F.col("d_id"), "left"))
-    j = j.withColumn("_due", discount_due(F.col("cost"), F.col("percent_value")))
-    j = _totals(j, {"_paid": F.sum("_due")}, d)
+    j = j.withColumn("_due", discount_due(F.col("cost"), F.col("percent_value"), is_integral(smr, "cost")))
+    j = _totals(j, {"_paid": F.sum("_due")})
     return j.select("event_id", "prt_id", "salon_id", F.col("_due").alias("user_must_pay"),
                     emit_once("_first", F.col("_paid")).alias("smr_paid"))
 
@@ -420,10 +414,11 @@ def date_extract(d, params: ReportParams = P) -> DataFrame:
 
 
 def date_interval_days(ld) -> DataFrame:
-    """Whole days between start and booking, truncated toward zero, and their label."""
+    """Whole days between start and booking, truncated toward zero, and their label
+    (empty for a seminar without a booking)."""
     s = ld.seminars.select(F.col("id").alias("smr_id"), "started_at")
     b = legacy.booking(ld).select("seminar_id", "master_id", "booking_at")
-    j = s.join(fact(b), F.col("smr_id") == F.col("seminar_id"))
+    j = outer_fanout(s, b, [(F.col("smr_id"), "seminar_id")])
     days = interval_days(F.col("started_at"), F.col("booking_at"))
     return j.select("smr_id", "master_id", "booking_at", days.alias("prebooking_day"),
                     F.when(days == 0, "on_seminar").when(days < 0, "after_seminar")
@@ -457,7 +452,7 @@ def math_discount(d) -> DataFrame:
          .join(_bb(smr), F.col("seminar_id") == F.col("s_id"), "left")
          .join(fact(dsc), F.col("discount_id") == F.col("d_id"), "left"))
     return j.select("prt_id", "cost", "percent_value", pg_int(F.col("percent_value")).alias("percent_int"),
-                    discount_due(F.col("cost"), F.col("percent_value")).alias("user_must_pay"))
+                    discount_due(F.col("cost"), F.col("percent_value"), is_integral(smr, "cost")).alias("user_must_pay"))
 
 
 def math_base_price(ld) -> DataFrame:

@@ -27,8 +27,7 @@ CLIENT_STATUS = {0: "potencial", 1: "active", 2: "closed"}
 CENTER_TYPE = {0: "studio", 1: "class"}
 
 
-def _bb(df: DataFrame, params: ReportParams = P) -> DataFrame:
-    return bounded_broadcast(df, params.broadcast_limit)
+_bb = bounded_broadcast
 
 
 # ------------------------------------------------------------------ staff
@@ -258,7 +257,7 @@ def places(d) -> DataFrame:
     trc = training_centers_regions(d)
     centres = trc.select(
         F.col("id").alias("studio_id"), F.lit(0).cast("long").alias("salon_id"), "name", "address",
-        F.col("costs_coefficient").cast("decimal(12,2)").alias("costs_coefficient"),
+        F.col("costs_coefficient"),
         decode(F.col("center_type"), CENTER_TYPE).alias("type_place"), "code", "region_id",
         "edu_reg", "edu_mreg")
     keys = (_event_brand_keys(d, "salon_id").where(F.col("salon_id").isNotNull())
@@ -273,7 +272,7 @@ def places(d) -> DataFrame:
     salon_venues = j.select(
         F.lit(0).cast("long").alias("studio_id"), F.col("k_salon").alias("salon_id"),
         F.col("sln.name").alias("name"), F.col("sln.address").alias("address"),
-        F.lit(1).cast("decimal(12,2)").alias("costs_coefficient"), F.lit("salon").alias("type_place"),
+        F.lit(1).alias("costs_coefficient"), F.lit("salon").alias("type_place"),
         F.col("rgu.code").alias("code"), F.col("rgu.edu_reg_id").alias("region_id"),
         F.col("rgu.edu_reg_name").alias("edu_reg"), F.col("rgu.edu_mreg_name").alias("edu_mreg")
     ).distinct()

@@ -10,38 +10,37 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpistar.config import ReportParams
 from kpistar.plans import blocks, dims, facts, legacy, reports
-from kpistar.plans.warmup import warm_domain, warm_legacy
 from kpistar.sources.domain import Domain
 from kpistar.sources.legacy import LegacyDomain
 
-P = ReportParams()
-
 _DOMAINS: dict = {}
 
 
-def _session_key(spark: SparkSession) -> tuple:
-    # a new session (or a restarted context) gets new domains and new written tables
-    return (id(spark), spark.sparkContext.applicationId)
+def _source_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Name, length and change time of what lies in the source folder (a listing, no job)."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(path)))
+
+
+def _domain(kind, spark: SparkSession, sf_dir: str):
+    """The domain over a source folder.  Its dimensions are written when a plan first needs
+    them and shared until the folder changes or the session ends."""
+    state = (spark.sparkContext.applicationId, _source_state(spark, sf_dir))
+    held = _DOMAINS.get((kind, sf_dir))
+    if held is None or held[0] != state:
+        held = _DOMAINS[kind, sf_dir] = (state, kind.from_sf(spark, sf_dir))
+    return held[1]
 
 
 def domain(spark: SparkSession, sf_dir: str) -> Domain:
-    key = (_session_key(spark), sf_dir)
-    if key not in _DOMAINS:
-        d = Domain.from_sf(spark, sf_dir)
-        warm_domain(d)
-        _DOMAINS[key] = d
-    return _DOMAINS[key]
+    return _domain(Domain, spark, sf_dir)
 
 
 def legacy_domain(spark: SparkSession, sf_dir: str) -> LegacyDomain:
-    key = ("g1", _session_key(spark), sf_dir)
-    if key not in _DOMAINS:
-        ld = LegacyDomain.from_sf(spark, sf_dir)
-        warm_legacy(ld)
-        _DOMAINS[key] = ld
-    return _DOMAINS[key]
+    return _domain(LegacyDomain, spark, sf_dir)
 
 
 def _g1(fn) -> Callable[[SparkSession, str], DataFrame]:

@@ -1,11 +1,10 @@
-"""SparkSession construction and cluster-safe lineage cutting."""
+"""SparkSession construction and the shared folder for written tables."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Session settings every plan in this package relies on.
 _BASE_CONF = {
@@ -13,6 +12,8 @@ _BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a skewed join side even where the split costs a further exchange
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -47,28 +48,26 @@ _LOCAL_DIRS: dict = {}
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared folder used to cut lineage (checkpoints, written dimensions).
+    """The shared folder for written tables and checkpoints.
 
-    Uses the folder the cluster names in ``spark.checkpoint.dir`` (or one already
-    set on the SparkContext).  Only when neither exists, as in local tests, a
-    scratch folder is created for this session.
+    The folder the cluster names in ``spark.checkpoint.dir``, or one already set on
+    the SparkContext.  With neither, a cluster session raises: its executors share no
+    local folder.  Only a ``local`` master (one process, as in tests) gets its own.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc._jsc.sc().getCheckpointDir().get()
-    key = sc.applicationId
-    if key not in _LOCAL_DIRS:
-        _LOCAL_DIRS[key] = tempfile.mkdtemp(prefix="kpistar-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        sc.setCheckpointDir(_LOCAL_DIRS[key])
+    if not configured:
+        configured = _local_folder(sc.master, sc.applicationId)
+    sc.setCheckpointDir(configured)
     return sc._jsc.sc().getCheckpointDir().get()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _local_folder(master: str, application: str) -> str:
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    if application not in _LOCAL_DIRS:
+        _LOCAL_DIRS[application] = tempfile.mkdtemp(prefix="kpistar-ckpt-")
+    return _LOCAL_DIRS[application]

@@ -61,6 +61,17 @@ def small_table(fn):
     return prop
 
 
+def from_tables(cls, tables: dict[str, DataFrame], needed):
+    """An instance of a domain class whose tables are the given DataFrames, none derived."""
+    missing = sorted(set(needed) - set(tables))
+    if missing:
+        raise ValueError(f"missing tables: {missing}")
+    d = cls.__new__(cls)
+    d.raw, d.spark = None, next(iter(tables.values())).sparkSession
+    d.__dict__.update({name: tables[name] for name in tables})
+    return d
+
+
 class Domain:
     """G2 domain tables derived from the driver tables."""
 
@@ -75,6 +86,11 @@ class Domain:
         self.raw = raw
         self.spark = raw.spark
 
+    @classmethod
+    def from_tables(cls, tables: dict[str, DataFrame]) -> "Domain":
+        """A domain over DataFrames of the documented tables (FIXTURES.md), by name."""
+        return from_tables(cls, tables, cls.TABLES)
+
     @classmethod
     def from_sf(cls, spark, sf_dir: str) -> "Domain":
         return cls(RawTables(spark, sf_dir))

@@ -5,13 +5,16 @@ database.  On Spark that is a JDBC source with the remote query text and an
 explicit result schema; the tenant predicate is part of the query so the
 remote side filters before sending rows, and ``partition_column`` splits the
 read over executors.  Without a reachable database (tests) the same relations
-come from ``kpistar.sources.legacy.LegacyDomain``.
+come from ``kpistar.sources.legacy.LegacyDomain``; ``LegacyDomain.from_tables`` takes
+the results of ``read_query`` as ``remote_programs`` and ``remote_paid``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kpistar.config import TENANT_BRAND_IDS
+
 PROGRAM_SCHEMA = ("status string, id int, name_prog string, brand_id int, brand string, salon_id int")
 PAYMENT_SCHEMA = "brand_id int, master_id int, seminar_id int, ykassa int"
 
@@ -35,14 +38,16 @@ def read_query(spark: SparkSession, url: str, query: str, schema: str, propertie
 
 
 def programs_query(brand_id: int) -> str:
-    """Programme records x clubs of one brand (brand filter runs remotely)."""
+    """Programme records x clubs of one brand (brand filter runs remotely), with the brand's name."""
+    names = " ".join(f"WHEN {i} THEN '{name}'" for name, i in sorted(TENANT_BRAND_IDS.items(), key=lambda x: x[1]))
     return ("SELECT r.status AS status, c.id AS id, c.name AS name_prog, c.brand_id AS brand_id, "
-            "NULL AS brand, r.salon_id AS salon_id "
-            "FROM special_program_club_records r LEFT JOIN special_program_clubs c ON r.club_id = c.id "
+            f"CASE c.brand_id {names} END AS brand, r.salon_id AS salon_id "
+            "FROM special_program_club_records r JOIN special_program_clubs c ON r.club_id = c.id "
             f"WHERE c.brand_id = {int(brand_id)}")
 
 
-def payments_query() -> str:
-    """Distinct online-payment flags per (brand, master, seminar)."""
+def payments_query(brand_id: int | None = None) -> str:
+    """Distinct online-payment flags per (brand, master, seminar), of one brand or of all."""
+    where = "" if brand_id is None else f" WHERE brand_id = {int(brand_id)}"
     return ("SELECT DISTINCT brand_id, master_id, seminar_id, "
-            "CASE WHEN price IS NOT NULL THEN 1 END AS ykassa FROM payments")
+            f"CASE WHEN price IS NOT NULL THEN 1 END AS ykassa FROM payments{where}")

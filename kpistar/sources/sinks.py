@@ -16,9 +16,7 @@ def write_report(df: DataFrame, path: str, fmt: str = "parquet", partition_by: l
     dupes = sorted({c for c in df.columns if df.columns.count(c) > 1})
     if dupes:
         raise ValueError(f"duplicate output columns: {dupes}")
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    w = df.write.mode(mode).format(fmt)
+    w = df.write.mode(mode).format(fmt).option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         w = w.option("header", "true")
     if partition_by:

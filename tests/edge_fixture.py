@@ -16,7 +16,8 @@ Events (all 1996):
 
 import datetime as dt
 from decimal import Decimal
-from types import SimpleNamespace
+
+from kpistar.sources.domain import Domain
 
 T = dt.datetime
 
@@ -61,7 +62,7 @@ def build(spark):
     user_posts = [(rid, u, lvl, None) for rid, u, lvl in
                   [(1, 1, 3), (10, 2, 4), (100, 3, 5), (1000, 4, 6)]] + [(5000, 4, 5, None)]
     user_post_brands = [(rid, rid) for rid in posts_by_region] + [(101, 5000)]
-    ns = SimpleNamespace(
+    tables = dict(
         brands=df([(0, "AMERICA", "AM"), (1, "EUROPE", "EU"), (2, "ASIA", "AS")], "id long, name string, code string"),
         regions=df(regions, region_cols),
         region_hierarchies=df(closure, "ancestor_id long, descendant_id long, generations int"),
@@ -106,4 +107,6 @@ def build(spark):
         payments=df([("y1", "o1", Decimal("100.00")), ("y2", "o1", Decimal("5.00"))],
                     "id string, order_id string, amount decimal(18,2)"),
     )
-    return ns
+    tables["admin_coach_events"] = df([], "id long, admin_coach_seminar_id long, user_id long, educator_id long, started_date date")
+    tables["admin_coach_seminars"] = df([], "id long, name string")
+    return Domain.from_tables(tables)

@@ -16,9 +16,9 @@ def dom(spark):
     return edge_fixture.build(spark)
 
 
-@pytest.fixture(scope="module", params=["skew_safe", "window"])
-def r4(request, dom):
-    return reports.kpi_report(dom, PARAMS, ordered=False, strategy=request.param).cache()
+@pytest.fixture(scope="module")
+def r4(dom):
+    return reports.kpi_report(dom, PARAMS, ordered=False).cache()
 
 
 def _rows(df, cond):
@@ -107,10 +107,9 @@ def test_full_outer_membership(dom):
 
 def test_nobrand_salons_exclude_test_region(dom, spark):
     extra = spark.createDataFrame([("p9", 1, 23, None)], dom.participations.schema)
-    dom2 = type(dom)(**{**dom.__dict__, "participations": dom.participations.unionByName(extra),
-                        "users_salons": dom.users_salons.unionByName(
-                            spark.createDataFrame([(23, 14)], dom.users_salons.schema))})
-    dom2.__dict__.pop("_dimension_memo", None)
+    members = dom.users_salons.unionByName(spark.createDataFrame([(23, 14)], dom.users_salons.schema))
+    dom2 = type(dom).from_tables({**{t: getattr(dom, t) for t in dom.TABLES}, "users_salons": members,
+                                  "participations": dom.participations.unionByName(extra)})
     got = {(r.salon_id, r.com_mreg_name) for r in dims.nobrand_salons(dom2, PARAMS).collect()}
     assert got == {(12, "EUROPE")}                                     # ASIA is excluded
 
@@ -150,7 +149,7 @@ def test_programme_with_null_status_is_empty(spark):
     from types import SimpleNamespace
     from kpistar.plans import legacy
     ld = SimpleNamespace(
-        remote_club_records=spark.createDataFrame(
+        remote_programs=None, remote_club_records=spark.createDataFrame(
             [(None, 1, 10), ("accepted", 2, 11), ("invited", 3, 11)], "status string, club_id int, salon_id int"),
         remote_clubs=spark.createDataFrame(
             [(1, "Expert 1997", 1), (2, "Emotion 1996", 1), (3, "МБК 1997", 1)], "id int, name string, brand_id int"),
@@ -159,3 +158,42 @@ def test_programme_with_null_status_is_empty(spark):
     assert got == {(10, "Empty | Empty", "Empty | Empty"),      # matched programme, NULL status
                    (11, "Empty | 1997", "1996 | Empty"),
                    (12, "Empty | Empty", "Empty | Empty")}      # no programme at all
+
+
+def test_participant_without_a_user_row_is_not_counted(dom):
+    """W4, W5, W8 count the joined user: p2's user has no row, so only p1 (two memberships) and p3 count."""
+    from kpistar.plans import blocks
+    first = blocks.window_count(dom).where("event_id = 1 AND users_count IS NOT NULL").collect()
+    assert len(first) == 1 and first[0].users_count == 3
+    nums = {(r.prt_id, r.user_num) for r in blocks.window_running_count(dom).where("event_id = 1").collect()}
+    assert nums == {("p1", 2), ("p2", 2), ("p3", 3)}
+    flags = {r.event_id: r.status_seminar_users for r in blocks.window_presence_flag(dom).collect()}
+    assert flags[1] == "attend" and flags[2] == "no_users"
+
+
+def test_numeric_cost_and_three_decimal_coefficient(spark, dom):
+    from decimal import Decimal
+    from kpistar.functions import discount_due
+    from kpistar.sources.domain import Domain
+    rows = spark.createDataFrame([(Decimal("1005.50"), Decimal("15.00")), (Decimal("1005.50"), None), (Decimal("0.00"), Decimal("15.00"))], "cost decimal(10,2), pct decimal(8,2)")
+    got = [r[0] for r in rows.select(discount_due(F.col("cost"), F.col("pct"), integral=False)).collect()]
+    assert got == [Decimal("100.55"), Decimal("1005.50"), None]
+    whole = spark.createDataFrame([(1005, Decimal("15.00"))], "cost long, pct decimal(8,2)")
+    assert whole.select(discount_due(F.col("cost"), F.col("pct"))).first()[0] == 100
+    tables = {t: getattr(dom, t) for t in Domain.TABLES}
+    tables["training_centers"] = spark.createDataFrame([(6, "TC6", "x6", Decimal("1.125"), 0, 10)],
+                                                       "id long, name string, address string, costs_coefficient decimal(6,3), center_type int, region_id long")
+    values = {str(r.costs_coefficient) for r in dims.places(Domain.from_tables(tables)).collect()}
+    assert "1.125" in values
+
+
+def test_date_label_of_a_seminar_without_booking(spark):
+    from kpistar.plans import blocks
+    from kpistar.sources.legacy import LegacyDomain
+    from conftest import SF_SMALL
+    base = LegacyDomain.from_sf(spark, SF_SMALL)
+    tables = {t: getattr(base, t) for t in LegacyDomain.TABLES}
+    tables["seminar_records"] = base.seminar_records.where("seminar_id % 2 = 0")
+    out = blocks.date_interval_days(LegacyDomain.from_tables(tables))
+    none = out.where("booking_at IS NULL").collect()
+    assert none and all(r.status_booking == "" and r.prebooking_day is None for r in none)
