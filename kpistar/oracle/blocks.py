@@ -146,10 +146,7 @@ FROM seminar_events e LEFT JOIN training_centers t ON e.studio_id = t.id LEFT JO
 SELECT id, CAST(day(t) AS INTEGER) AS day, CAST(month(t) AS INTEGER) AS month, CAST(year(t) AS INTEGER) AS year,
   CAST(hour(t) AS INTEGER) AS hour, strftime(t, '%d.%m.%Y') AS smr_start_date
 FROM (SELECT id, timezone('Europe/Moscow', timezone('UTC', started_at)) AS t FROM seminar_events) z""",
-    "sort_topn": g2._kpi_brand(
-        "ORDER BY e.started_at, e.id, p.id NULLS LAST, us.salon_id NULLS LAST, su.com_ter_id NULLS LAST, "
-        "nb.com_mreg_name NULLS LAST, py.amount NULLS LAST, dc.percent_value NULLS LAST, "
-        "sl.com_ter_id NULLS LAST, h.region_id NULLS LAST LIMIT 100"),
+    "sort_topn": g2.PREVIEW,
 }
 
 G2_BLOCKS.update({
