@@ -8,10 +8,12 @@ from kpistar.llm.language import op9_language
 from kpistar.llm.pieces import op8_pieces
 from kpistar.llm.quality import op6_quality
 from kpistar.llm.secret_scan import op5_secrets
+from kpistar.llm.substrings import op2_substrings
 from kpistar.llm.tokencount import op7_token_counts
 
 QUERIES = {
     "op1_vectors": vectors.op1_vectors,
+    "op2_substrings": op2_substrings,
     "op3_decontaminate": op3_decontaminate,
     "op4_chat": chat.op4_chat,
     "op5_secrets": op5_secrets,
