@@ -17,11 +17,13 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+# the dimensions first, each cold (what it needs that is not written yet is part of its time);
+# the reports then read them
 HEADLINE = [
+    "dim_staff_hierarchy", "dim_salons_regions", "dim_educators", "union_all_places", "join_theta_residual", "dim_program_salons",
     "report_kpi", "report_kpi_brand", "report_education_star", "report_legacy_kpi", "report_legacy_salon",
     "report_coach_events", "report_role_roster", "fact_seminars", "fact_participations",
-    "dim_staff_hierarchy", "dim_educators", "join_theta_residual", "dim_program_salons",
-    "agg_distinct_participants", "window_sum_case", "audit_fanout",
+    "agg_distinct_participants", "window_sum_case", "window_running_count", "audit_fanout",
 ]
 
 

@@ -1,4 +1,4 @@
-"""Print the formatted physical plan of one query key (after warm-up).
+"""Print the formatted physical plan of one query key .
 
 usage: python tools/explain.py <key> [sf_dir] [--executed]
 
