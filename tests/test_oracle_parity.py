@@ -30,4 +30,5 @@ def test_entry_contract(spark):
     import __spark_entry__ as entry_mod
     df = entry_mod.entry(spark)
     assert df.count() > 0
-    assert set(entry_mod.queries()) == set(entry_mod.oracle_sql())
+    # the training-data queries, where installed, come on top; not all of them have SQL
+    assert set(QUERIES) <= set(entry_mod.oracle_sql()) <= set(entry_mod.queries())
