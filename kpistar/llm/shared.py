@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -32,6 +33,12 @@ class Scratch:
             path = jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}")
             path.getFileSystem(conf).delete(path, True)
 
+    def release(self) -> None:
+        """Have the shuffle files of finished steps deleted now.  Spark's cleaner does so when the
+        driver collects its garbage, which for a small driver plan may not come for long."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
 
 _SHIPPED: set[str] = set()
 
