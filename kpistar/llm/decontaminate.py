@@ -11,8 +11,10 @@ that holds the whole part scores 1 and one threshold fits all parts.  A passage
 dropped when the sum of its words' largest weights, and then the sum of their largest
 weights within every block of parts, stay below the threshold; block-max WAND searches
 the rest and returns every part at or above it.  A hit counts when at least ``overlap``
-of the five-word shingles of the question and of the answer (a shorter side: of its one
-shorter shingle) occur in the passage.
+of the five-word shingles of the whole item occur in the passage, or of those of the
+question and of the answer.  A side of under 29 words is measured by shorter shingles, too,
+down to words, so short that one changed word spoils no more than a fifth of them (a side
+of two to four words may lack one word); its overlap is the larger of the two.
 
 The index goes to the executors only in shards of at most ``shard_bytes`` of item text.
 Edge cases: null or blank texts have no passage; a null or blank item matches nothing;
@@ -81,24 +83,28 @@ class Index:
     top: np.ndarray                         # of each term
     block_top: np.ndarray                   # term x block
     item: list[int]                         # of each part
-    sides: list[list[tuple[int, np.ndarray]]]   # of each item: shingle length and hashes of question and answer
+    whole: list[tuple[int, np.ndarray]]         # of each item: shingle length and hashes
+    sides: list[list[tuple[float, list[tuple[int, np.ndarray]]]]]   # of each item: for question and answer the share needed, and their measures
     block: int
 
 
 def build_index(items: list[tuple[int, str | None]], p: Params) -> Index:
-    parts, part_item, sides = [], [], []
+    parts, part_item, whole, sides = [], [], [], []
     for n, (_, text) in enumerate(items):
         text = text or ""
         h = _word_hashes(text)
         for at in range(0, len(h), p.passage):
             parts.append(h[at:at + p.passage])
             part_item.append(n)
+        whole.append((min(p.k, len(h)), np.unique(grams(h, min(p.k, len(h))))) if len(h) else (p.k, h))
         own = []
         for side in question_answer(text):
             w = _word_hashes(side)
             if len(w):
-                k = min(p.k, len(w))
-                own.append((k, np.unique(grams(w, k))))
+                # a changed word spoils k of the n - k + 1 shingles
+                few = max(1, min(p.k, int((len(w) + 1) * (1 - p.overlap) / (2 - p.overlap) + 1e-9)))
+                need = min(p.overlap, 1 - 1 / len(w)) if len(w) > 1 else p.overlap
+                own.append((need, [(k, np.unique(grams(w, k))) for k in sorted({few, min(p.k, len(w))})]))
         sides.append(own)
     vocab = np.unique(np.concatenate([np.zeros(0, np.uint64), *parts]))
     mean = sum(map(len, parts)) / max(1, len(parts))
@@ -117,7 +123,7 @@ def build_index(items: list[tuple[int, str | None]], p: Params) -> Index:
         block_top[t, n // p.block] = np.maximum(block_top[t, n // p.block], w)
     seen = np.zeros(1 << 20, bool)
     seen[(vocab >> np.uint64(44)).astype(np.int64)] = True
-    return Index(vocab, seen, posts, block_top.max(1, initial=0), block_top, part_item, sides, p.block)
+    return Index(vocab, seen, posts, block_top.max(1, initial=0), block_top, part_item, whole, sides, p.block)
 
 
 def block_max_wand(ix: Index, terms: list[int], threshold: float) -> list[tuple[int, float]]:
@@ -166,6 +172,11 @@ def block_max_wand(ix: Index, terms: list[int], threshold: float) -> list[tuple[
                     advance(c, part)
 
 
+def _share(measure: tuple[int, np.ndarray], window: np.ndarray) -> float:
+    k, own = measure
+    return float(np.isin(own, grams(window, k)).mean())
+
+
 def _slice_hits(ix: Index, p: Params, buf: np.ndarray, offs: np.ndarray):
     """(document, item, score, question overlap, answer overlap) of each confirmed passage of a slice."""
     _, _, doc, h = textkit.words(buf, offs, textkit.NOT_ALNUM)
@@ -220,8 +231,8 @@ def _slice_hits(ix: Index, p: Params, buf: np.ndarray, offs: np.ndarray):
             # a cut item is looked for around its part, any other in the passage
             longest = p.passage * ix.item.count(n)
             window = h[max(int(first[lo]), lo - longest + p.passage):min(last, lo + p.passage + longest)]
-            share = [float(np.isin(g, grams(window, k)).mean()) for k, g in ix.sides[n]]
-            if share and min(share) >= p.overlap:
+            share = [max(_share(m, window) for m in measures) for _, measures in ix.sides[n]]
+            if share and (all(s >= need - 1e-9 for s, (need, _) in zip(share, ix.sides[n])) or _share(ix.whole[n], window) >= p.overlap):
                 yield d, n, score, share[0], share[1] if len(share) > 1 else None
 
 

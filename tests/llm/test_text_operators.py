@@ -80,6 +80,21 @@ def test_leaks_equal_brute_force(spark):
     assert decontaminate.without_leaks(df, table.where("item_id > 99")).count() == len(docs)
 
 
+def test_copies_with_one_changed_word_are_leaks(spark):
+    rnd = random.Random(8)
+    items = [(i, prose(rnd, rnd.randint(10, 40)) + ". " + prose(rnd, rnd.randint(2, 12)) + ".") for i in range(20)]
+    docs = []
+    for i, item in items:
+        w = item.split()
+        for at in range(len(w)):
+            end = "." if w[at].endswith(".") else ""
+            docs.append((i * 1000 + at, " ".join([prose(rnd, 100), *w[:at], "changed" + end, *w[at + 1:], prose(rnd, 100)])))
+    docs += [(100000 + i, prose(rnd, 100) + " " + " ".join(item.split()[:len(item.split()) // 2])) for i, item in items]
+    df, table = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(df, table).collect()} == {(d, d // 1000) for d, _ in docs if d < 100000}
+    assert {r.doc_id for r in decontaminate.without_leaks(df, table).collect()} == {d for d, _ in docs if d >= 100000}
+
+
 def test_block_max_wand_equals_full_scores():
     rnd = random.Random(2)
     vocabulary = [prose(rnd, 1) for _ in range(120)]
