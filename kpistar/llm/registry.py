@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kpistar.llm import chat, minhash_dedup, vector_codes, vectors
+from kpistar.llm import chat, divergence, minhash_dedup, vector_codes, vectors
 from kpistar.llm.decontaminate import op3_decontaminate
 from kpistar.llm.language import op9_language
 from kpistar.llm.pieces import op8_pieces
@@ -23,6 +23,7 @@ QUERIES = {
     "op9_language": op9_language,
     "op10_minhash_dedup": minhash_dedup.op10_minhash_dedup,
     "op12_vector_codes": vector_codes.op12_vector_codes,
+    "op13_source_divergence": divergence.op13_source_divergence,
 }
 
 ORACLE: dict[str, str] = {
@@ -30,4 +31,5 @@ ORACLE: dict[str, str] = {
     "op4_chat": chat.ORACLE_SQL,
     "op10_minhash_dedup": minhash_dedup.ORACLE_SQL,
     "op12_vector_codes": vector_codes.ORACLE_SQL,
+    "op13_source_divergence": divergence.ORACLE_SQL,
 }
