@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kpistar.llm import chat, divergence, minhash_dedup, vector_codes, vectors
+from kpistar.llm import chat, divergence, minhash_dedup, packing, vector_codes, vectors
 from kpistar.llm.decontaminate import op3_decontaminate
 from kpistar.llm.language import op9_language
 from kpistar.llm.pieces import op8_pieces
@@ -22,6 +22,7 @@ QUERIES = {
     "op8_pieces": op8_pieces,
     "op9_language": op9_language,
     "op10_minhash_dedup": minhash_dedup.op10_minhash_dedup,
+    "op11_packing": packing.op11_packing,
     "op12_vector_codes": vector_codes.op12_vector_codes,
     "op13_source_divergence": divergence.op13_source_divergence,
 }
