@@ -1,10 +1,11 @@
 """Source divergence audit: term distributions of sources compared, with late string materialization.
 
 Terms are runs of A-Z, a-z and characters beyond ASCII, A-Z lower-cased.  The scan counts
-them batch by batch and writes rows (lang, source, digest, n, docs, term), one per distinct
-term of a batch and group; equal digests are compared byte by byte there, so a row never
-mixes two terms.  All counting after that reads and shuffles the 64-bit digests alone: the
-column of strings stays in the files.
+them batch by batch and writes rows (l, g, digest, n, docs, term), one per distinct term of a
+batch and group; equal digests are compared byte by byte there, so a row never mixes two
+terms.  Languages and (language, source) groups go by digests, too (l and g, under the first
+seed that gives them all different ones).  All counting after that reads and shuffles rows
+of fixed width: the column of strings stays in the files.
 
 Strings come back twice.  The least and the greatest string of each digest that some
 language keeps tell whether two terms share it; such digests are counted again by
@@ -94,9 +95,11 @@ def _counted(p: Params):
 
     def run(batches):
         for b in batches:
-            lang, source = b.column(0).dictionary_encode(), b.column(1).dictionary_encode()
-            wide = max(1, len(source.dictionary))
-            group = lang.indices.to_numpy().astype(np.int64) * wide + source.indices.to_numpy()
+            # a group has one language: its digest is looked up by the group's
+            coded = b.column(1).dictionary_encode()
+            group = coded.indices.to_numpy().astype(np.int64)
+            lang = np.zeros(len(coded.dictionary), np.int64)
+            lang[group] = b.column(0).to_numpy()
             found = []
             for lo, hi, raw, offs in textkit.pieces(textkit.column(b, "text")):
                 buf = LOWER[raw]
@@ -117,7 +120,7 @@ def _counted(p: Params):
             t = pa.concat_tables(found).group_by(["g", "digest", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
             g = t["g"].to_numpy()
             yield from pa.table({
-                "lang": lang.dictionary.take(pa.array(g // wide)), "source": source.dictionary.take(pa.array(g % wide)), "digest": t["digest"],
+                "l": lang[g], "g": coded.dictionary.take(pa.array(g)), "digest": t["digest"],
                 "n": t["n_sum"], "docs": t["docs_sum"].cast(pa.int64()), "term": t["term"].cast(pa.binary()).cast(pa.string())}).combine_chunks().to_batches()
     return run
 
@@ -128,15 +131,16 @@ KEY = ["digest", "spelling"]
 
 
 def _kept(counts: DataFrame, p: Params) -> DataFrame:
-    return (counts.groupBy("lang", *KEY).agg(F.sum("n").alias("n_lang"), F.sum("docs").alias("docs"))
+    return (counts.groupBy("l", *KEY).agg(F.sum("n").alias("n_lang"), F.sum("docs").alias("docs"))
             .where(F.col("docs") >= p.min_docs).drop("docs"))
 
 
 def counted_terms(docs: DataFrame, scratch: Scratch, p: Params) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """counts (lang, source, digest, spelling, n, docs), kept (lang, digest, spelling, n_lang) and texts (digest, spelling, term)."""
-    rows = scratch.put(docs.mapInArrow(_counted(p), "lang string, source string, digest long, n long, docs long, term string"), "terms")
+    """counts (l, g, digest, spelling, n, docs), kept (l, digest, spelling, n_lang) and texts (digest, spelling, term)
+    of ``docs`` (l, g, text)."""
+    rows = scratch.put(docs.mapInArrow(_counted(p), "l long, g long, digest long, n long, docs long, term string"), "terms")
     sums = [F.sum("n").alias("n"), F.sum("docs").alias("docs")]
-    counts = scratch.put(rows.groupBy("lang", "source", "digest").agg(*sums).withColumn("spelling", F.lit(0)), "counts")
+    counts = scratch.put(rows.groupBy("l", "g", "digest").agg(*sums).withColumn("spelling", F.lit(0)), "counts")
     kept = scratch.put(_kept(counts, p), "kept")
     span = rows.groupBy("digest").agg(F.min("term").alias("least"), F.max("term").alias("greatest"))
     texts = scratch.put(span.join(kept.select("digest").distinct(), "digest", "left_semi"), "texts")
@@ -147,7 +151,7 @@ def counted_terms(docs: DataFrame, scratch: Scratch, p: Params) -> tuple[DataFra
     spelled = (rows.join(shared, "digest", "left_semi").select("digest", "term").distinct()
                .withColumn("spelling", F.row_number().over(W.partitionBy("digest").orderBy("term"))))
     spelled = scratch.put(spelled, "spelled")
-    again = rows.join(spelled, ["digest", "term"]).groupBy("lang", "source", *KEY).agg(*sums)
+    again = rows.join(spelled, ["digest", "term"]).groupBy("l", "g", *KEY).agg(*sums)
     counts = scratch.put(counts.join(shared, "digest", "left_anti").unionByName(again), "counts-split")
     return counts, scratch.put(_kept(counts, p), "kept-split"), alone.unionByName(spelled)
 
@@ -162,57 +166,71 @@ def excess(p: str, q: str) -> str:
     return f"((({p}) - ({q})) * (({p}) - ({q})) div ({q}))"
 
 
+def numbered(groups: DataFrame) -> tuple[DataFrame, int]:
+    """The groups (lang, source) with digests l and g that tell them apart, and the seed of these."""
+    seed = 0
+    while True:
+        out = groups.select("lang", "source", *digests_of(seed))
+        langs, ls, n, gs = out.agg(F.countDistinct("lang"), F.countDistinct("l"), F.count(F.lit(1)), F.countDistinct("g")).first()
+        if langs == ls and n == gs:
+            return out, seed
+        seed += 1
+
+
+def digests_of(seed: int) -> list[Column]:
+    return [F.xxhash64(F.lit(seed), "lang").alias("l"), F.xxhash64(F.lit(seed), "lang", "source").alias("g")]
+
+
 def audited(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
     """Divergent terms (lang, source, item, value, rank) of each source, and its other sources likewise."""
     spark = docs.sparkSession
     ship(spark)
     scratch = Scratch(spark, "divergence")
-    whole = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")]
-    docs = docs.select(*whole)
-    groups = scratch.put(docs.select("lang", "source").distinct(), "groups")
-    counts, kept, texts = counted_terms(docs, scratch, p)
-
-    of_source = scratch.put(counts.join(kept, ["lang", *KEY]).select("lang", "source", *KEY, "n", "n_lang"), "kept-counts")
-    of_lang = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"), F.sum("n_lang").alias("lang_total"))
-    totals = (groups.join(of_source.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left").join(of_lang, "lang", "left")
+    docs = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
+    groups, seed = numbered(scratch.put(docs.select("lang", "source").distinct(), "groups"))
+    counts, kept, texts = counted_terms(docs.select(*digests_of(seed), "text"), scratch, p)
+
+    of_source = scratch.put(counts.join(kept, ["l", *KEY]).select("l", "g", *KEY, "n", "n_lang"), "kept-counts")
+    of_lang = kept.groupBy("l").agg(F.count(F.lit(1)).alias("terms"), F.sum("n_lang").alias("lang_total"))
+    totals = (groups.join(of_source.groupBy("g").agg(F.sum("n").alias("total")), "g", "left").join(of_lang, "l", "left")
               .na.fill(0, ["total", "terms", "lang_total"]).withColumn("p0", probability("0L", "total", "terms")))
     totals = scratch.put(totals, "totals")
-    scored = scratch.put(of_source.join(totals, ["lang", "source"]).select(
-        "lang", "source", *KEY, probability("n", "total", "terms").alias("p"), probability("n_lang", "lang_total", "terms").alias("q"), "p0"), "scored")
-    return _divergent_terms(scored, texts, scratch, p), _divergent_sources(scored, totals)
+    scored = scratch.put(of_source.join(totals.drop("l"), "g").select(
+        "l", "g", *KEY, probability("n", "total", "terms").alias("p"), probability("n_lang", "lang_total", "terms").alias("q"), "p0"), "scored")
+    return _divergent_terms(scored, totals, texts, scratch, p), _divergent_sources(scored, totals)
 
 
-def _divergent_terms(scored: DataFrame, texts: DataFrame, scratch: Scratch, p: Params) -> DataFrame:
-    own = scored.where("p > q").select("lang", "source", *KEY, F.expr(excess("p", "q")).alias("value"))
-    by_value = W.partitionBy("lang", "source").orderBy(F.desc("value"))
+def _divergent_terms(scored: DataFrame, totals: DataFrame, texts: DataFrame, scratch: Scratch, p: Params) -> DataFrame:
+    own = scored.where("p > q").select("g", *KEY, F.expr(excess("p", "q")).alias("value"))
     # the least value that can be reported, without strings; rows cut off before the shuffle by the limit on the row number
-    least = scratch.put(own.withColumn("at", F.row_number().over(by_value)).where(F.col("at") <= p.top)
-                        .groupBy("lang", "source").agg(F.min("value").alias("least")), "least")
-    reach = own.join(least, ["lang", "source"]).where("value >= least").join(texts, KEY).select("lang", "source", F.col("term").alias("item"), "value")
-    return (reach.withColumn("rank", F.row_number().over(W.partitionBy("lang", "source").orderBy(F.desc("value"), "item")))
-            .where(F.col("rank") <= p.top))
+    least = scratch.put(own.withColumn("at", F.row_number().over(W.partitionBy("g").orderBy(F.desc("value")))).where(F.col("at") <= p.top)
+                        .groupBy("g").agg(F.min("value").alias("least")), "least")
+    reach = own.join(least, "g").where("value >= least").join(texts, KEY).select("g", F.col("term").alias("item"), "value")
+    ranked = (reach.withColumn("rank", F.row_number().over(W.partitionBy("g").orderBy(F.desc("value"), "item")))
+              .where(F.col("rank") <= p.top))
+    return ranked.join(totals.select("g", "lang", "source"), "g").select("lang", "source", "item", "value", "rank")
 
 
 def _divergent_sources(scored: DataFrame, totals: DataFrame) -> DataFrame:
     def side(name: str) -> DataFrame:
-        return totals.select("lang", F.col("source").alias(name), F.col("p0").alias(f"{name}0"), "terms")
+        return totals.select("l", F.col("g").alias(name), F.col("p0").alias(f"{name}0"), F.col("source").alias(f"{name}_source"), "lang", "terms")
 
-    every = side("a").join(side("b").drop("terms"), "lang").where("a <> b")
-    bins = scored.groupBy("lang", "source", "p", "p0").agg(F.count(F.lit(1)).alias("k"))
-    met = bins.join(side("other").drop("terms"), "lang").where("source <> other")
+    every = side("a").join(side("b").drop("lang", "terms"), "l").where("a <> b")
+    bins = scored.groupBy("l", "g", "p", "p0").agg(F.count(F.lit(1)).alias("k"))
+    met = bins.join(totals.select("l", F.col("g").alias("other"), F.col("p0").alias("other0")), "l").where("g <> other")
     f = excess
-    single = met.select("lang", F.inline(F.array(
-        F.struct(F.col("source").alias("a"), F.col("other").alias("b"), F.expr(f"k * ({f('p', 'other0')} - {f('p0', 'other0')})").alias("v")),
-        F.struct(F.col("other").alias("a"), F.col("source").alias("b"), F.expr(f"k * ({f('other0', 'p')} - {f('other0', 'p0')})").alias("v")))))
-    one = scored.select("lang", *KEY, F.col("source").alias("a"), F.col("p").alias("pa"), F.col("p0").alias("a0"))
-    two = scored.select("lang", *KEY, F.col("source").alias("b"), F.col("p").alias("pb"), F.col("p0").alias("b0"))
-    both = one.join(two, ["lang", *KEY]).where("a < b").groupBy("lang", "a", "b").agg(
+    single = met.select(F.inline(F.array(
+        F.struct(F.col("g").alias("a"), F.col("other").alias("b"), F.expr(f"k * ({f('p', 'other0')} - {f('p0', 'other0')})").alias("v")),
+        F.struct(F.col("other").alias("a"), F.col("g").alias("b"), F.expr(f"k * ({f('other0', 'p')} - {f('other0', 'p0')})").alias("v")))))
+    one = scored.select("l", *KEY, F.col("g").alias("a"), F.col("p").alias("pa"), F.col("p0").alias("a0"))
+    two = scored.select("l", *KEY, F.col("g").alias("b"), F.col("p").alias("pb"), F.col("p0").alias("b0"))
+    both = one.join(two, ["l", *KEY]).where("a < b").groupBy("a", "b").agg(
         F.sum(F.expr(f"{f('pa', 'pb')} - {f('pa', 'b0')} - {f('a0', 'pb')} + {f('a0', 'b0')}")).alias("v"),
         F.sum(F.expr(f"{f('pb', 'pa')} - {f('pb', 'a0')} - {f('b0', 'pa')} + {f('b0', 'a0')}")).alias("w"))
-    common = both.select("lang", F.inline(F.array(F.struct("a", "b", "v"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("w").alias("v")))))
-    rest = single.groupBy("lang", "a", "b").agg(F.sum("v").alias("v")).unionByName(common).groupBy("lang", "a", "b").agg(F.sum("v").alias("v"))
+    common = both.select(F.inline(F.array(F.struct("a", "b", "v"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("w").alias("v")))))
+    rest = single.groupBy("a", "b").agg(F.sum("v").alias("v")).unionByName(common).groupBy("a", "b").agg(F.sum("v").alias("v"))
     value = F.expr(f"if(terms = 0, 0, terms * {f('a0', 'greatest(b0, 1)')}) + coalesce(v, 0)").cast("long")
-    pairs = every.join(rest, ["lang", "a", "b"], "left").select("lang", F.col("a").alias("source"), F.col("b").alias("item"), value.alias("value"))
+    pairs = every.join(rest, ["a", "b"], "left").select("lang", F.col("a_source").alias("source"), F.col("b_source").alias("item"), value.alias("value"))
     return pairs.withColumn("rank", F.row_number().over(W.partitionBy("lang", "source").orderBy(F.desc("value"), "item")))
 
 

@@ -81,9 +81,9 @@ def test_terms_with_equal_digests_are_told_apart():
 
 
 def test_rows_of_the_scan_hold_one_term_each(spark):
-    b = pa.RecordBatch.from_pydict({"lang": ["en", "en"], "source": ["a", "b"], "text": ["x y x z", "x"]})
+    b = pa.RecordBatch.from_pydict({"l": [7, 7], "g": [1, 2], "text": ["x y x z", "x"]})
     rows = [r for out in dv._counted(dv.Params(digest_bits=1))(iter([b])) for r in out.to_pylist()]
-    assert sorted((r["source"], r["term"], r["n"], r["docs"]) for r in rows) == [("a", "x", 2, 1), ("a", "y", 1, 1), ("a", "z", 1, 1), ("b", "x", 1, 1)]
+    assert sorted((r["l"], r["g"], r["term"], r["n"], r["docs"]) for r in rows) == [(7, 1, "x", 2, 1), (7, 1, "y", 1, 1), (7, 1, "z", 1, 1), (7, 2, "x", 1, 1)]
 
 
 @pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
