@@ -17,7 +17,7 @@ Unicode, go by the file itself, as do all texts where ``ranks`` is None.
 A range is a task's rows in key order; documents with equal keys are told apart by a row
 number, so that copies, even a third of all rows, split over ranges like any others.  Within
 a task at most one open sequence and one Arrow batch are held.  Sequence ids are the range's
-number and a count within it.
+number and a count within it.  On their way ids take two bytes each if the vocabulary allows.
 
 Edge cases: a null text is empty (one id, the end id); a document of any length is cut into
 as many sequences as it needs; repeated rows and ids are separate documents; a null doc_id
@@ -85,6 +85,9 @@ class Ids:
             self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens=special)
             self.unsettled = regex.compile(f"[^{SETTLED}]")
 
+    def width(self, p: Params) -> str:
+        return "<u2" if max(self.tokenizer.get_vocab_size() - 1, p.end_id, *self.tokenizer.get_vocab().values()) < 1 << 16 else "<u4"
+
     def __call__(self, text: str) -> np.ndarray:
         if self.fast is None or self.unsettled.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -153,16 +156,16 @@ def _key(mean: np.ndarray, deviation: np.ndarray, p: Params):
 
 # ---------------------------------------------------------------- Spark
 
-def _encoded(source, p: Params):
+def _encoded(source, width: str, p: Params):
     def run(batches):
         ids, directions = _ids(*source.value), _projection(p)
         for b in batches:
             for lo in range(0, len(b), 1024):
                 part = b.slice(lo, 1024)
-                found = [np.append(ids(t.as_py() or ""), np.uint32(p.end_id)).astype("<u4") for t in part.column(1)]
+                found = [np.append(ids(t.as_py() or ""), np.uint32(p.end_id)) for t in part.column(1)]
                 at = np.array([hashed(x, p) for x in found]) @ directions
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(x) for x in found], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary()),
+                    [part.column(0), pa.array([len(x) for x in found], pa.int64()), pa.array([x.astype(width).tobytes() for x in found], pa.binary()),
                      pa.array(list(at.astype(np.float32)), pa.list_(pa.float32()))], names=["doc_id", "doc_tokens", "ids", "at"])
     return run
 
@@ -172,7 +175,7 @@ def powers(n: int) -> list[int]:
     return [1 << b for b in range(n.bit_length() - 1, -1, -1) if n >> b & 1]
 
 
-def _cut(length: int):
+def _cut(length: int, width: str):
     """The pieces of a range's documents, in the order they come."""
     def run(batches):
         number, fill, open_, part, kind = 0, 0, [], 0, pa.int64()
@@ -186,7 +189,7 @@ def _cut(length: int):
         for b in batches:
             done, kind = [], b.schema.field(0).type
             for doc, n, ids, part in zip(*(b.column(i).to_pylist() for i in range(4))):
-                start = 0
+                start, ids = 0, np.frombuffer(ids, width).astype("<u4").tobytes()
                 while start < n:
                     size = min(n - start, length - fill)
                     open_.append((doc, start, size, ids[4 * start:4 * (start + size)], n, part << 36 | number, fill))
@@ -220,17 +223,17 @@ def packed(docs: DataFrame, p: Params = Params()) -> DataFrame:
     if p.ranks:
         with open(p.ranks, "rb") as f:
             ranks = f.read()
-    _ids(spec, ranks)  # what does not fit together fails here
+    width = _ids(spec, ranks).width(p)  # what does not fit together fails here
     source = spark.sparkContext.broadcast((spec, ranks))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", "text").mapInArrow(_encoded(source, p), f"doc_id {id_type}, doc_tokens long, ids binary, at array<float>")
+    rows = docs.select("doc_id", "text").mapInArrow(_encoded(source, width, p), f"doc_id {id_type}, doc_tokens long, ids binary, at array<float>")
     rows = Scratch(spark, "packing").put(rows.withColumn("row", F.monotonically_increasing_id()), "encoded")
     measured = rows.agg(*[f(F.col("at")[i].cast("double")) for f in (F.avg, F.stddev_pop) for i in range(p.axes)]).first()
     mean, deviation = (np.array([x or 0.0 for x in part]) for part in (measured[:p.axes], measured[p.axes:]))
     key = _key(mean, np.where(deviation > 0, deviation, 1.0), p)
     along = (rows.select("doc_id", "doc_tokens", "ids", "row", key("at").alias("key")).repartitionByRange("key", "row")
              .sortWithinPartitions("key", "row").select("doc_id", "doc_tokens", "ids", F.spark_partition_id().cast("long").alias("range")))
-    return along.mapInArrow(_cut(p.length), f"doc_id {id_type}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    return along.mapInArrow(_cut(p.length, width), f"doc_id {id_type}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 
 def sequences(pieces: DataFrame, p: Params = Params(), pad_id: int = 0) -> DataFrame:
