@@ -69,32 +69,50 @@ def fact(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
-def outer_fanout(left: DataFrame, right: DataFrame, on: list[tuple[Column, str]]) -> DataFrame:
+def fact_led(left: DataFrame, right: DataFrame, on: list[tuple[Column, str]], nullable: bool = True) -> DataFrame:
     """``left LEFT JOIN right`` on (left key, name of the right key) pairs, where ``right``
-    is a fact that may hold a hot key.
+    is a fact that may hold a hot key and ``left`` a wide plan to be evaluated once.
 
-    A skewed partition of the right (null-supplying) side of a left outer join
-    cannot be split by AQE, so one hot key would land in one task.  The same
-    rows are produced as
+    A skewed partition of the right (null-supplying) side of a left outer join cannot be
+    split by AQE, so one hot key would land in one task.  Here the fact leads:
 
-        (left INNER JOIN right)  UNION ALL  (left ANTI JOIN distinct right keys, right columns NULL)
+        (right UNION ALL keys of left that right lacks, right columns NULL)  INNER JOIN  left
 
-    The inner join's skewed partitions can be split on either side, and the
-    anti join only sees the distinct keys (pre-aggregated map-side).
+    The inner join's skewed partitions can be split on either side.  The added keys need
+    only the key columns of both sides, and the distinct of ``left``'s lets Catalyst drop
+    its outer joins there.  ``nullable=False`` promises that left keys are never NULL (a
+    primary key) and makes the join a plain equality, which tables bucketed by it need.
     """
-    inner = left.join(fact(right), reduce(and_, [k == right[r] for k, r in on]), "inner")
-    keys = right.select(*[F.col(r).alias(f"_fanout_key{i}") for i, (_, r) in enumerate(on)]).distinct()
-    lone = left.join(fact(keys), reduce(and_, [k == keys[f"_fanout_key{i}"] for i, (k, _) in enumerate(on)]), "left_anti")
-    lone = lone.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields])
-    return inner.unionByName(lone.select(*inner.columns))
+    keys = [f"_fact{i}" for i in range(len(on))]
+    have = right.select(*[F.col(r).alias(f"_have{i}") for i, (_, r) in enumerate(on)]).distinct()
+    asked = left.select(*[k.alias(n) for n, (k, _) in zip(keys, on)]).distinct()
+    lone = asked.join(fact(have), reduce(and_, [asked[n] == have[f"_have{i}"] for i, n in enumerate(keys)]), "left_anti")
+    lone = lone.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields], *keys)
+    known = right.where(reduce(and_, [F.col(r).isNotNull() for _, r in on]))
+    facts = known.select("*", *[F.col(r).alias(n) for n, (_, r) in zip(keys, on)]).unionByName(lone)
+    same = [k.eqNullSafe(facts[n]) if nullable else k == facts[n] for n, (k, _) in zip(keys, on)]
+    return left.join(fact(facts), reduce(and_, same), "inner").drop(*keys)
+
+
+#: Pieces that the rows of one key are dealt into by ``left_join_many``.
+PIECES = 64
 
 
 def left_join_many(left: DataFrame, right: DataFrame, on: list[tuple[Column, str]]) -> DataFrame:
-    """``left LEFT JOIN right`` for a 1:N right side (memberships, posts): a bounded right
-    side is broadcast (no shuffle, so no skew), any other goes through ``outer_fanout``."""
-    if is_bounded(right):
-        return left.join(F.broadcast(right), reduce(and_, [k == right[r] for k, r in on]), "left")
-    return outer_fanout(left, right, on)
+    """``left LEFT JOIN right`` for a 1:N right side (memberships, posts), ``left`` evaluated once.
+
+    The right rows are dealt into pieces by their hash.  A left row first meets the pieces
+    that its key has (at most ``PIECES``, so no key is hot on that side), then, on key and
+    piece, the rows of each: a key with a third of all right rows is spread over its pieces,
+    a hot left key is on the preserved side, which AQE splits.  A left row is copied no more
+    often than it has matches.  One program at every size; sides under the broadcast limit
+    are broadcast, which moves no left row."""
+    known = right.where(reduce(and_, [F.col(r).isNotNull() for _, r in on]))
+    known = known.withColumn("_piece", F.pmod(F.xxhash64(*right.columns), F.lit(PIECES)))
+    pieces = known.select(*[F.col(r).alias(f"_many{i}") for i, (_, r) in enumerate(on)], F.col("_piece").alias("_of")).distinct()
+    j = left.join(bounded_broadcast(pieces), reduce(and_, [k == pieces[f"_many{i}"] for i, (k, _) in enumerate(on)]), "left")
+    j = j.join(bounded_broadcast(known), reduce(and_, [k == known[r] for k, r in on], j["_of"] == known["_piece"]), "left")
+    return j.drop("_of", "_piece", *[f"_many{i}" for i in range(len(on))])
 
 
 def full_outer_dim(fact_side: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:

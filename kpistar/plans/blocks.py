@@ -15,7 +15,8 @@ from kpistar.config import ReportParams
 from kpistar.functions import (at_report_tz, base_price, coalesce_case, decode, discount_due, dmy,
                                interval_days, is_integral, is_true, period_filter, pg_concat, pg_concat_op, pg_int,
                                presence_flag, when_present, year_ranges)
-from kpistar.operators.joins import bounded_broadcast, fact, left_join_many, lookup, outer_fanout
+from kpistar.operators.joins import bounded_broadcast, fact, fact_led, left_join_many, lookup
+from kpistar.operators.materialize import dimension
 from kpistar.operators.ordering import pg_asc
 from kpistar.operators.skewsafe import first_and_totals, running_count_range, running_sum
 from kpistar.operators.windows import emit_once
@@ -45,7 +46,7 @@ def tenant_filter(ld, params: ReportParams = P) -> DataFrame:
     sln = ld.salons.select(F.col("id").alias("salon_id"))
     prg = legacy.programs(ld, params).where(F.col("brand") == F.lit(params.tenant)).select(
         F.col("salon_id").alias("p_salon"), "name_prog", "status")
-    j = outer_fanout(sln, prg, [(F.col("salon_id"), "p_salon")])
+    j = fact_led(sln, prg, [(F.col("salon_id"), "p_salon")])
     return j.select("salon_id", "name_prog", "status")
 
 
@@ -192,7 +193,7 @@ def join_left_fanout(d) -> DataFrame:
     """Event ⟕ participations, 1:N (events without participants keep one NULL row)."""
     e = d.seminar_events.select("id")
     p = d.participations.select(F.col("id").alias("prt_id"), "seminar_event_id", "user_id")
-    return outer_fanout(e, p, [(e.id, "seminar_event_id")]).select(F.col("id").alias("event_id"), "prt_id", "user_id")
+    return fact_led(e, p, [(e.id, "seminar_event_id")]).select(F.col("id").alias("event_id"), "prt_id", "user_id")
 
 
 def join_left_composite(d) -> DataFrame:
@@ -231,7 +232,7 @@ def join_left_expr_key(ld, params: ReportParams = P) -> DataFrame:
            .select(F.col("salon_id").alias("p_salon"), "status"))
     key = F.coalesce(F.col("salon_id"), F.col("mng_id"))
     j = u.join(_bb(mng), F.col("salon_id").isNull() & (F.col("id") == F.col("salon_manager_id")), "left")
-    j = outer_fanout(j, spp, [(key, "p_salon")])
+    j = fact_led(j, spp, [(key, "p_salon")])
     return j.select("id", key.alias("salon_key"), F.col("status").alias("club"))
 
 
@@ -242,7 +243,7 @@ def join_role_playing(d) -> DataFrame:
     p = d.participations.select(F.col("id").alias("prt_id"), "seminar_event_id", F.col("user_id").alias("p_user"))
     pu = _pref(d.users, "pu_")
     j = e.join(_bb(edu), F.col("educator_id") == F.col("edu_id"), "left")
-    j = (outer_fanout(j, p, [(F.col("id"), "seminar_event_id")])
+    j = (fact_led(j, p, [(F.col("id"), "seminar_event_id")])
          .join(_bb(pu), F.col("p_user") == F.col("pu_id"), "left"))
     return j.select(F.col("id").alias("event_id"), "prt_id",
                     pg_concat_op(F.col("edu_first_name"), " ", F.col("edu_last_name")).alias("educator_name"),
@@ -280,7 +281,7 @@ def audit_fanout(d) -> DataFrame:
     e = d.seminar_events.select("id")
     p = d.participations.select(F.col("id").alias("prt_id"), "seminar_event_id", "user_id")
     per_user = d.users_salons.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_salons"))
-    j = (outer_fanout(e, p, [(F.col("id"), "seminar_event_id")])
+    j = (fact_led(e, p, [(F.col("id"), "seminar_event_id")])
          .join(_bb(per_user.withColumnRenamed("user_id", "m_user")), F.col("user_id") == F.col("m_user"), "left"))
     return (j.groupBy(F.col("id").alias("event_id"))
             .agg(F.count("prt_id").alias("participation_rows"),
@@ -295,7 +296,7 @@ def agg_group_count(ld) -> DataFrame:
     s = ld.seminars.select("id", "started_at")
     smu = ld.seminar_users.select(F.col("seminar_id"), F.col("user_id").alias("smu_user"))
     u = ld.users.select(F.col("id").alias("usr_id"), F.col("full_name"))
-    j = (outer_fanout(s, smu, [(F.col("id"), "seminar_id")])
+    j = (fact_led(s, smu, [(F.col("id"), "seminar_id")])
          .join(_bb(u), F.col("smu_user") == F.col("usr_id"), "left"))
     return (j.groupBy(F.col("id").alias("smr_id"), "started_at", "usr_id", "full_name")
             .agg(F.count("usr_id").alias("users_count")))
@@ -307,15 +308,21 @@ def distinct_rows(d) -> DataFrame:
 
 
 # ------------------------------------------------------------ windows
-def _event_rows(d) -> DataFrame:
-    """Events ⟕ participations ⟕ participants ⟕ their memberships (the windowed report grain)."""
+@dimension
+def event_rows(d) -> DataFrame:
+    """Events ⟕ seminar ⟕ participations ⟕ discount ⟕ participants ⟕ their memberships (the
+    windowed report grain), written once: every measure over it reads this table, not the facts."""
     e = d.seminar_events.select(F.col("id").alias("event_id"), "started_at", "seminar_id")
     p = d.participations.select(F.col("id").alias("prt_id"), "seminar_event_id", "user_id", "discount_id")
     pu = d.users.select(F.col("id").alias("pu_id"))
+    smr = d.seminars.select(F.col("id").alias("s_id"), "duration", "cost")
+    dsc = d.discounts.select(F.col("id").alias("d_id"), "percent_value")
+    e = e.join(_bb(smr), F.col("seminar_id") == F.col("s_id"), "left")
     us = d.users_salons.select(F.col("user_id").alias("m_user"), "salon_id")
-    j = outer_fanout(e, p, [(F.col("event_id"), "seminar_event_id")])
-    j = j.join(_bb(pu), F.col("user_id") == F.col("pu_id"), "left")
-    return left_join_many(j, us, [(F.col("pu_id"), "m_user")])
+    j = fact_led(e, p, [(F.col("event_id"), "seminar_event_id")], nullable=False)
+    j = j.join(_bb(pu), F.col("user_id") == F.col("pu_id"), "left").join(_bb(dsc), F.col("discount_id") == F.col("d_id"), "left")
+    j = j.withColumn("due", discount_due(F.col("cost"), F.col("percent_value"), is_integral(smr, "cost")))
+    return left_join_many(j, us, [(F.col("pu_id"), "m_user")]).drop("s_id", "d_id", "seminar_id", "discount_id", "cost", "percent_value")
 
 
 ROW_ORDER = ["prt_id", "salon_id"]
@@ -327,9 +334,7 @@ def _totals(j: DataFrame, aggs: dict, part=("event_id",)) -> DataFrame:
 
 def window_first_row(d) -> DataFrame:
     """Event values emitted on the event's first row only (total order)."""
-    j = _event_rows(d)
-    smr = d.seminars.select(F.col("id").alias("s_id"), "duration")
-    j = _totals(j.join(_bb(smr), F.col("seminar_id") == F.col("s_id"), "left"), {})
+    j = _totals(event_rows(d), {})
     return j.select("event_id", "prt_id", "salon_id", emit_once("_first", F.col("duration")).alias("smr_duration"),
                     emit_once("_first", F.col("event_id")).alias("uniq_smr_id"))
 
@@ -337,54 +342,48 @@ def window_first_row(d) -> DataFrame:
 def window_row_number(d) -> DataFrame:
     """``row_number() OVER (PARTITION BY event ORDER BY participation)``
     as a bucketed running count (the order is unique inside an event)."""
-    j = _event_rows(d).withColumn("_one", F.lit(1))
+    j = event_rows(d).withColumn("_one", F.lit(1))
     j = running_sum(j, ["event_id"], ROW_ORDER, "_one", "rn")
     return j.select("event_id", "prt_id", "salon_id", F.col("rn").cast("long").alias("rn"))
 
 
 def window_count(d) -> DataFrame:
     """Joined-row counts per event (attendees, client salons), emitted once."""
-    j = _totals(_event_rows(d), {"_users": F.count("pu_id"), "_clients": F.count("salon_id")})
+    j = _totals(event_rows(d), {"_users": F.count("pu_id"), "_clients": F.count("salon_id")})
     return j.select("event_id", "prt_id", "salon_id", emit_once("_first", F.col("_users")).alias("users_count"),
                     emit_once("_first", F.col("_clients")).alias("clients_count"))
 
 
 def window_running_count(d) -> DataFrame:
     """Running count, default RANGE frame: membership ties on a participation share it."""
-    j = running_count_range(_event_rows(d), ["event_id"], "prt_id", "pu_id", "user_num")
+    j = running_count_range(event_rows(d), ["event_id"], "prt_id", "pu_id", "user_num")
     return j.select("event_id", "prt_id", "salon_id", "user_num")
 
 
 def window_dedup_person(d) -> DataFrame:
     """Participant id emitted once per (event, participant); two partition columns."""
-    j = _totals(_event_rows(d), {}, part=("event_id", "user_id"))
+    j = _totals(event_rows(d), {}, part=("event_id", "user_id"))
     return j.select("event_id", "prt_id", "salon_id", emit_once("_first", F.col("user_id")).alias("user_id"))
 
 
 def window_presence_flag(d) -> DataFrame:
     """W8/M5: 'attend' when the event has any participant with a user row, else 'no_users'."""
-    j = _totals(_event_rows(d), {"_users": F.count("pu_id")})
+    j = _totals(event_rows(d), {"_users": F.count("pu_id")})
     return j.select("event_id", "prt_id", "salon_id",
                     F.when(F.col("_users") > 0, "attend").otherwise("no_users").alias("status_seminar_users"))
 
 
 def window_sum_case(d) -> DataFrame:
     """``sum(CASE ...) OVER (PARTITION BY event)`` of the amount due, emitted once."""
-    j = _event_rows(d)
-    smr = d.seminars.select(F.col("id").alias("s_id"), "cost")
-    dsc = d.discounts.select(F.col("id").alias("d_id"), "percent_value")
-    j = (j.join(_bb(smr), F.col("seminar_id") == F.col("s_id"), "left")
-         .join(_bb(dsc), F.col("discount_id") == F.col("d_id"), "left"))
-    j = j.withColumn("_due", discount_due(F.col("cost"), F.col("percent_value"), is_integral(smr, "cost")))
-    j = _totals(j, {"_paid": F.sum("_due")})
-    return j.select("event_id", "prt_id", "salon_id", F.col("_due").alias("user_must_pay"),
+    j = _totals(event_rows(d), {"_paid": F.sum("due")})
+    return j.select("event_id", "prt_id", "salon_id", F.col("due").alias("user_must_pay"),
                     emit_once("_first", F.col("_paid")).alias("smr_paid"))
 
 
 # ---------------------------------------------------------- sorting
 def sort_total(d) -> DataFrame:
     """O1/O2: ``ORDER BY started_at, event, participation`` with PostgreSQL NULL placement."""
-    j = _event_rows(d)
+    j = event_rows(d)
     return (j.select("event_id", "started_at", "prt_id", "salon_id")
             .orderBy(pg_asc("started_at"), pg_asc("event_id"), pg_asc("prt_id"), pg_asc("salon_id")))
 
@@ -418,7 +417,7 @@ def date_interval_days(ld) -> DataFrame:
     (empty for a seminar without a booking)."""
     s = ld.seminars.select(F.col("id").alias("smr_id"), "started_at")
     b = legacy.booking(ld).select("seminar_id", "master_id", "booking_at")
-    j = outer_fanout(s, b, [(F.col("smr_id"), "seminar_id")])
+    j = fact_led(s, b, [(F.col("smr_id"), "seminar_id")])
     days = interval_days(F.col("started_at"), F.col("booking_at"))
     return j.select("smr_id", "master_id", "booking_at", days.alias("prebooking_day"),
                     F.when(days == 0, "on_seminar").when(days < 0, "after_seminar")

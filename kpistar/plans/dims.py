@@ -191,6 +191,7 @@ def users_dim(d) -> DataFrame:
                     presence_flag(F.col("last_request_at")).alias("status_ecad_active_user"))
 
 
+@dimension
 def users_salons_dim(d) -> DataFrame:
     """Membership FULL JOIN salon, with status, opening and region chain.
 
