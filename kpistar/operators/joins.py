@@ -45,6 +45,23 @@ def lookup(left: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
     return left.join(bounded_broadcast(dim), on, how)
 
 
+def single_row_lookup(left: DataFrame, key: Column, table: DataFrame, table_key: str, values: dict[str, str]) -> DataFrame:
+    """``left`` with columns of ``table`` (name there -> name here) looked up by ``key``, as
+    correlated scalar subqueries give them: NULL without a row, and an error as soon as a row
+    of ``left`` asks for a key that has a second one (keys that nobody asks for may repeat).
+
+    The table is reduced to one row per key with its count, so ``left``'s rows never multiply;
+    a key held by many rows of ``left`` is on the preserved, splittable side."""
+    rows = table.where(F.col(table_key).isNotNull()).groupBy(F.col(table_key).alias("_lookup")).agg(
+        F.count(F.lit(1)).alias("_found"), *[F.first(v).alias(f"_value_{v}") for v in values])
+    j = left.join(bounded_broadcast(rows), key == F.col("_lookup"), "left")
+    refused = F.raise_error(F.concat(F.lit(f"more than one row returned by a lookup of {table_key} "), F.col("_lookup").cast("string")))
+    for v, name in values.items():
+        kind = table.schema[v].dataType
+        j = j.withColumn(name, F.when(F.col("_found") > 1, refused.cast(kind)).otherwise(F.col(f"_value_{v}")))
+    return j.drop("_lookup", "_found", *[f"_value_{v}" for v in values])
+
+
 def anti_orphans(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                  right_cols: list[str] | None = None) -> DataFrame:
     """``left LEFT JOIN right ... WHERE right.key IS NULL`` as a left-anti join.

@@ -15,7 +15,7 @@ from kpistar.config import ReportParams
 from kpistar.functions import (at_report_tz, base_price, coalesce_case, decode, discount_due, dmy,
                                interval_days, is_integral, is_true, period_filter, pg_concat, pg_concat_op, pg_int,
                                presence_flag, when_present, year_ranges)
-from kpistar.operators.joins import bounded_broadcast, fact, fact_led, left_join_many, lookup
+from kpistar.operators.joins import bounded_broadcast, fact, fact_led, left_join_many, lookup, single_row_lookup
 from kpistar.operators.materialize import dimension
 from kpistar.operators.ordering import pg_asc
 from kpistar.operators.skewsafe import first_and_totals, running_count_range, running_sum
@@ -251,14 +251,12 @@ def join_role_playing(d) -> DataFrame:
 
 
 def scalar_subquery_lookup(ld) -> DataFrame:
-    """Correlated single-row lookups as left joins on unique keys:
-    studio type by studio id; educator role by (technolog, partimer, partner) priority."""
-    s = ld.seminars
-    std = ld.studios.select(F.col("id").alias("std_id"), "studio_type")
-    role = ld.users.select(F.col("id").alias("r_id"), F.col("role").alias("edu_role"))
+    """Correlated single-row lookups: studio type by studio id; educator role by
+    (technolog, partimer, partner) priority.  A second row for a key that is looked up raises,
+    as a scalar subquery does."""
     key = F.coalesce(F.col("technolog_id"), F.col("partimer_id"), F.col("partner_id"))
-    j = (s.join(_bb(std), F.col("studio_id") == F.col("std_id"), "left")
-         .join(_bb(role), key == F.col("r_id"), "left"))
+    j = single_row_lookup(ld.seminars, F.col("studio_id"), ld.studios, "id", {"studio_type": "studio_type"})
+    j = single_row_lookup(j, key, ld.users, "id", {"role": "edu_role"})
     return j.select("id", "studio_id", "studio_type", "edu_role")
 
 

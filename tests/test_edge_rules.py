@@ -197,3 +197,17 @@ def test_date_label_of_a_seminar_without_booking(spark):
     out = blocks.date_interval_days(LegacyDomain.from_tables(tables))
     none = out.where("booking_at IS NULL").collect()
     assert none and all(r.status_booking == "" and r.prebooking_day is None for r in none)
+
+
+def test_a_second_row_of_a_scalar_lookup_is_refused(spark):
+    """One studio id twice: an error where a seminar asks for it, none where nobody does."""
+    from kpistar.operators.joins import single_row_lookup
+    seminars = spark.createDataFrame([(1, 10), (2, 11), (3, None), (4, 99)], "id long, studio_id long")
+    studios = spark.createDataFrame([(10, "studio"), (11, "classroom"), (12, "studio"), (12, "classroom"), (None, "x"), (None, "y")], "sid long, studio_type string")
+    got = single_row_lookup(seminars, F.col("studio_id"), studios, "sid", {"studio_type": "kind"})
+    assert {(r.id, r.kind) for r in got.collect()} == {(1, "studio"), (2, "classroom"), (3, None), (4, None)}
+    twice = studios.unionByName(spark.createDataFrame([(10, "studio")], studios.schema))
+    with pytest.raises(Exception, match="more than one row returned by a lookup of sid 10"):
+        single_row_lookup(seminars, F.col("studio_id"), twice, "sid", {"studio_type": "kind"}).collect()
+    empty = single_row_lookup(seminars, F.col("studio_id"), studios.limit(0), "sid", {"studio_type": "kind"})
+    assert empty.where("kind is null").count() == 4
