@@ -130,7 +130,7 @@ def frequent_pretokens(docs: DataFrame, p: Params = Params()) -> list[str]:
     some = docs.select("text")
     if total > p.sample_rows:
         some = some.where(F.pmod(F.xxhash64("text"), F.lit(total)) < p.sample_rows)
-    rows = (some.coalesce(8).mapInArrow(_frequent_of(p.table_entries), "t string, n long").groupBy("t").agg(F.sum("n").alias("n"))
+    rows = (some.mapInArrow(_frequent_of(p.table_entries), "t string, n long").groupBy("t").agg(F.sum("n").alias("n"))
             .orderBy(F.desc("n"), "t").limit(p.table_entries).collect())
     return [r["t"] for r in rows if len(r["t"]) <= p.longest_cached]
 
