@@ -7,8 +7,10 @@ ending there, the one whose own start is the text's or whose predecessor (the la
 of the prefix before it) is compatible.  The table is filled left to right and the ids are
 read from its end backwards.  Characters that are in no piece become byte pieces.
 
-Texts are cut only where no piece can lie across: before a run of spaces and around
-line breaks; repeated units come from a bounded cache of each worker.  The pair test
+Texts are cut only where no piece can lie across: before a run of spaces, around line
+breaks and between a letter and a mark that no piece has after a letter.  Repeated units
+come from a bounded cache of each worker; the missing ones of a text are encoded in one
+pass, a line break between them (an end of a prefix, as it is in no piece).  The pair test
 undoes the merges of both pieces from the last one back (equal scores, as of runs of
 spaces, merge from the left).  Decoding looks the ids up in a table of piece bytes.
 
@@ -93,20 +95,31 @@ class Pieces:
         self.ids = {t: i for i, (t, s) in enumerate(zip(texts, special)) if not s}
         self.score = [sp.get_score(i) for i in range(n)]
         self.byte = {int(texts[i][3:5], 16): i for i in range(n) if sp.is_byte(i)}
+        self.splits: dict[int, tuple] = {}
         self.automaton = ahocorasick.Automaton()
         for t, i in self.ids.items():
-            self.automaton.add_word(t, (i, len(t)))
+            if self._split(i) != (-1, -1):          # the piece's own text is encoded as the piece
+                self.automaton.add_word(t, (i, len(t)))
         self.automaton.make_automaton()
         self.pairs: dict[int, bool] = {}
-        self.splits: dict[int, tuple] = {}
         self.units: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.cut = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
+        self.cut = self._cuts()
         self.raw = [b"" if sp.is_control(i) else bytes([int(t[3:5], 16)]) if sp.is_byte(i) else t.replace(SPACE, " ").encode() for i, t in enumerate(texts)]
         self.silent = {i for i in range(n) if sp.is_control(i)}
         self.raw[self.unknown] = " ⁇ ".encode()
         self.length = [len(t) for t in texts]
 
+    def _cuts(self) -> re.Pattern:
+        """A unit: spaces and what follows them, up to a border that no piece lies across."""
+        letters = {c for t in self.ids for c in t if c.isalpha()}
+        marks = {chr(i) for i in range(33, 127) if not chr(i).isalnum()}
+        marks -= {b for t in self.ids for a, b in zip(t, t[1:]) if a in letters}
+        if not (letters and marks):
+            return re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
+        letter, mark = (re.escape("".join(sorted(x))) for x in (letters, marks))
+        return re.compile(f"(?:{SPACE}+|[^{SPACE}\n])[^{SPACE}\n{mark}]*(?:(?<![{letter}])[{mark}][^{SPACE}\n{mark}]*)*|\n")
+
     def _split(self, a: int) -> tuple[int, int] | None:
         """The two pieces whose merge makes a piece; None for a character, (-1, -1) if merges never give the piece."""
         known = self.splits.get(a)
@@ -128,18 +141,12 @@ class Pieces:
             self.splits[a] = known
         return known or None
 
-    def reachable(self, a: int) -> bool:
-        """Whether the piece's own text is encoded as the piece."""
-        return self._split(a) != (-1, -1)
-
     def compatible(self, a: int, b: int) -> bool:
         """Whether the text of both is encoded as the two pieces.
 
         Merges are undone from the last one back, of whichever side it was; at no time
         may the two pieces at the border have merged before the merge undone last.
         """
-        if not (self.reachable(a) and self.reachable(b)):
-            return False
         score, text = self.score, self.text
         before, ties = None, False                  # merges across the border must come after this score
         while True:
@@ -161,54 +168,78 @@ class Pieces:
 
     def encode_unit(self, unit: str) -> list[int]:
         """The ids of a stretch of text that no piece leaves, by the prefix table."""
-        last = [-1] * (len(unit) + 1)               # -1: of the empty prefix, and after a byte-coded character
-        pairs = self.pairs
-        for at, (piece, length) in self.automaton.iter(unit):
-            at += 1
-            if last[at] >= 0:
-                continue
-            before = last[at - length]
-            if before < 0:
-                if self.reachable(piece):
+        return self._encode_all([unit])[0]
+
+    def _encode_all(self, units: list[str]) -> list[list[int]]:
+        """The ids of each unit, by one prefix table over all of them."""
+        text = "\n".join(units)
+        last = [-1] * (len(text) + 1)               # by the prefix's last character; -1: no piece ends there (nor in the empty prefix, at -1)
+        pairs, compatible = self.pairs, self.compatible
+        for at, (piece, length) in self.automaton.iter(text):
+            if last[at] < 0:
+                before = last[at - length]
+                if before < 0:
                     last[at] = piece
-                continue
-            key = before << 32 | piece
-            fits = pairs.get(key)
-            if fits is None:
-                fits = pairs[key] = self.compatible(before, piece)
-            if fits:
-                last[at] = piece
-        out, i, length = [], len(unit), self.length
-        while i:
-            piece = last[i]
-            if piece >= 0:
-                out.append(piece)
-                i -= length[piece]
+                else:
+                    key = before << 20 | piece
+                    fits = pairs.get(key)
+                    if fits is None:
+                        fits = pairs[key] = compatible(before, piece)
+                    if fits:
+                        last[at] = piece
+        found, end, length = [], -1, self.length
+        for unit in units:
+            out, start = [], end
+            i = end = end + len(unit) + 1
+            while i - 1 > start:
+                piece = last[i - 1]
+                if piece >= 0:
+                    out.append(piece)
+                    i -= length[piece]
+                else:
+                    i -= 1
+                    out.extend([self.byte[x] for x in reversed(text[i].encode())])
+            out.reverse()
+            found.append(out)
+        if len(pairs) > self.p.cached_pairs:
+            pairs.clear()
+        return found
+
+    def _missing(self, units: list[str]) -> dict[str, bytes]:
+        """The ids of units that the newer half of the cache does not have."""
+        found, new = {}, []
+        for u in units:
+            known = self.older.get(u)
+            if known is None:
+                new.append(u)
             else:
-                i -= 1
-                out.extend(self.byte[x] for x in reversed(unit[i].encode()))
-        out.reverse()
-        return out
-
-    def _unit(self, unit: str) -> bytes:
-        found = self.older.get(unit)
-        if found is None:
-            found = array("I", self.encode_unit(unit)).tobytes()
-        if len(unit) <= self.p.longest_cached:
-            if len(self.units) >= self.p.cached_units // 2:
-                # what the last half of the cache has not used goes
-                self.units, self.older = {}, self.units
-            self.units[unit] = found
-        if len(self.pairs) > self.p.cached_pairs:
-            self.pairs.clear()
+                found[u] = known
+        while new:
+            # a table over about 65536 characters at most, or one unit
+            size, n = 0, 0
+            while n < len(new) and (not n or size + len(new[n]) < 65536):
+                size += len(new[n]) + 1
+                n += 1
+            found.update(zip(new[:n], [array("I", x).tobytes() for x in self._encode_all(new[:n])]))
+            new = new[n:]
+        for u, known in found.items():
+            if len(u) <= self.p.longest_cached:
+                if len(self.units) >= self.p.cached_units // 2:
+                    # what the last half of the cache has not used goes
+                    self.units, self.older = {}, self.units
+                self.units[u] = known
         return found
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers, without begin and end ids."""
         if not text:
             return b""
-        miss = self._unit
-        return b"".join([self.units.get(u) or miss(u) for u in self.cut.findall(SPACE + text.replace(" ", SPACE))])
+        units = self.cut.findall(SPACE + text.replace(" ", SPACE))
+        ids = list(map(self.units.get, units))
+        if None in ids:
+            found = self._missing(list({u: None for u, known in zip(units, ids) if known is None}))
+            ids = [found[u] if known is None else known for u, known in zip(units, ids)]
+        return b"".join(ids)
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; begin, end and other control ids are silent, invalid bytes become U+FFFD."""
@@ -314,7 +345,7 @@ def _decoded(source, digest: str, p: Params):
 
 
 def encoded(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """``docs`` with ``ids`` (array<int>, begin and end ids included) of ``text``."""
+    """``docs`` with ``ids`` (array<int>, begin and end ids included) of ``text``; a column ``ids`` of ``docs`` is replaced."""
     ship(docs.sparkSession)
     docs = docs.drop("ids")
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
@@ -322,7 +353,7 @@ def encoded(docs: DataFrame, p: Params = Params()) -> DataFrame:
 
 
 def decoded(rows: DataFrame, p: Params = Params()) -> DataFrame:
-    """``rows`` with the text ``decoded`` of ``ids``."""
+    """``rows`` with the text ``decoded`` of ``ids``; a column ``decoded`` of ``rows`` is replaced."""
     ship(rows.sparkSession)
     rows = rows.drop("decoded")
     return rows.mapInArrow(_decoded(*_model(rows.sparkSession, p), p), T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())]))

@@ -269,6 +269,21 @@ def test_pieces_equal_the_library(spark):
     assert pieces.digests(df.where("doc_id > 999")).collect() == []
 
 
+def test_units_end_where_no_piece_lies_across():
+    sp = _models()[2]
+    assert MODEL.cut.findall("▁one,▁▁two.three\n.com▁²._x") == ["▁one", ",", "▁▁two", ".three", "\n", ".com", "▁²._x"]
+    across = {a + b for t in MODEL.ids for a, b in zip(t, t[1:])}
+    rnd = random.Random(4)
+    for _ in range(3000):
+        text = "".join(rnd.choices("abeénrth .,;!?²ª'\"()-_/\\\n\t0123<中🙂▁#%&\x00", k=rnd.randint(0, 40)))
+        units = MODEL.cut.findall("▁" + text.replace(" ", "▁"))
+        assert "".join(units) == "▁" + text.replace(" ", "▁")
+        assert not any(a[-1] + b[0] in across for a, b in zip(units, units[1:]) if b[0] not in "▁\n" and a[-1] != "\n")
+        assert np.frombuffer(MODEL.encode(text), "<u4").tolist() == sp.encode(text)
+    long = " ".join(f"w{rnd.randrange(10**9):x}." for _ in range(30_000)) + "é" * 70_000
+    assert np.frombuffer(MODEL.encode(long), "<u4").tolist() == sp.encode(long)
+
+
 def test_decoding_of_any_ids_equals_the_library():
     rnd, sp = random.Random(3), _models()[2]
     for _ in range(1000):
