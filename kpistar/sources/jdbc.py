@@ -4,8 +4,9 @@ The legacy reports pull programme clubs and online payments from a second
 database.  On Spark that is a JDBC source with the remote query text and an
 explicit result schema; the tenant predicate is part of the query so the
 remote side filters before sending rows, and ``partition_column`` splits the
-read over executors.  Without a reachable database (tests) the same relations
-come from ``kpistar.sources.legacy.LegacyDomain``; ``LegacyDomain.from_tables`` takes
+read over executors.  ``kpistar.sources.remote`` runs the same queries through a
+driver of Python in Spark tasks.  Without a reachable
+database the same relations come from ``kpistar.sources.legacy.LegacyDomain``; ``LegacyDomain.from_tables`` takes
 the results of ``read_query`` as ``remote_programs`` and ``remote_paid``.
 """
 
@@ -37,13 +38,13 @@ def read_query(spark: SparkSession, url: str, query: str, schema: str, propertie
     return df.to(spark.createDataFrame([], schema).schema)
 
 
-def programs_query(brand_id: int) -> str:
-    """Programme records x clubs of one brand (brand filter runs remotely), with the brand's name."""
+def programs_query(brand_id: int | None) -> str:
+    """Programme records x clubs with the brand's name, of one brand (filtered remotely) or of all, records without a club included."""
     names = " ".join(f"WHEN {i} THEN '{name}'" for name, i in sorted(TENANT_BRAND_IDS.items(), key=lambda x: x[1]))
+    kind, where = ("LEFT JOIN", "") if brand_id is None else ("JOIN", f" WHERE c.brand_id = {int(brand_id)}")
     return ("SELECT r.status AS status, c.id AS id, c.name AS name_prog, c.brand_id AS brand_id, "
             f"CASE c.brand_id {names} END AS brand, r.salon_id AS salon_id "
-            "FROM special_program_club_records r JOIN special_program_clubs c ON r.club_id = c.id "
-            f"WHERE c.brand_id = {int(brand_id)}")
+            f"FROM special_program_club_records r {kind} special_program_clubs c ON r.club_id = c.id{where}")
 
 
 def payments_query(brand_id: int | None = None) -> str:
