@@ -11,7 +11,7 @@ defaults (64, 36) a pair at exactly 0.8 is missed with probability 5e-7.
   ``coordinates - matches + 1`` values, so only those are posted; values that one class
   alone has are counted, not posted.
 * Short lists (up to ``short_list`` classes) yield their pairs; collisions are counted
-  over the lists, completed on the signatures, and skipped below ``matches``.
+  on the signatures, and pairs of fewer than ``matches`` skipped.
 * Longer lists never yield pairs.  Their classes are dealt into blocks by their longest
   list; two blocks that share a list are intersected in one task (at most
   ``2 * block_rows`` sets), which returns a spanning forest of its links.  This is
@@ -73,8 +73,8 @@ def _features(p: Params):
             ends = np.cumsum([0, *map(len, sigs)]).astype(np.int32)
             values = np.concatenate([np.zeros(0, np.int32), *sigs])
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(ends, values)],
-                names=["doc_id", "n", "digest", "sig"])
+                [b.column(0), b.column(2), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(ends, values)],
+                names=["doc_id", "text_hash", "n", "digest", "sig"])
     return run
 
 
@@ -147,14 +147,20 @@ def _block_links(percent: int):
 
 def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text)."""
+    return _grouped(docs, p).drop("text_hash")
+
+
+def _grouped(docs: DataFrame, p: Params) -> DataFrame:
+    """``near_duplicates`` with the ``text_hash`` that tells rows of one doc_id apart."""
     spark = docs.sparkSession
     ship(spark)
     scratch = Scratch(spark, "minhash")
     docs = docs.select("doc_id", "text")
-    feats = scratch.put(docs.mapInArrow(_features(p), "doc_id long, n long, digest binary, sig array<int>"), "features")
+    feats = scratch.put(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_features(p), "doc_id long, text_hash long, n long, digest binary, sig array<int>"), "features")
     classes = feats.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("cls"))
     reps = scratch.put(
-        feats.where("digest is not null").join(classes, "digest").where("doc_id = cls").select("cls", "sig").dropDuplicates(["cls"]), "reps")
+        feats.where("digest is not null").join(classes, "digest").where("doc_id = cls").select("cls", "digest", "sig")
+        .dropDuplicates(["cls", "digest"]).select("cls", "sig"), "reps")
 
     # prefix: the rarest values of each signature
     token = F.expr("transform(sig, (x, i) -> shiftleft(cast(i as bigint), 32) | (cast(x as bigint) & 4294967295))")
@@ -170,7 +176,7 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     # short lists: pairs, counted and completed on the signatures
     short = posted.where(F.col("len") <= p.short_list).select("token", "cls")
     pairs = (short.select("token", F.col("cls").alias("a")).join(short.select("token", F.col("cls").alias("b")), "token").where("a < b")
-             .groupBy("a", "b").agg(F.count(F.lit(1)).alias("hits")))
+             .select("a", "b").distinct())
     agree = F.expr("aggregate(zip_with(sig_a, sig_b, (x, y) -> if(x = y, 1, 0)), 0, (s, x) -> s + x)")
     pairs = scratch.put(pairs.join(reps.select(F.col("cls").alias("a"), F.col("sig").alias("sig_a")), "a")
                         .join(reps.select(F.col("cls").alias("b"), F.col("sig").alias("sig_b")), "b")
@@ -203,17 +209,18 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
 
     comp = components(scratch, edges)
     of_class = classes.join(comp.withColumnRenamed("node", "cls"), "cls", "left").select("digest", F.coalesce("component", "cls").alias("component"))
-    row = feats.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(of_class, "digest", "left")
+    row = feats.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "digest").join(of_class, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return row.select("doc_id", "n_shingles", component.alias("component_id"),
+    return row.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"),
                       F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
 def without_near_duplicates(docs: DataFrame, p: Params = Params(k=5)) -> DataFrame:
-    """One row, all columns, of each group of near-duplicates; rows without a doc_id stay as they are."""
-    keep = near_duplicates(docs, p).where("kept and doc_id is not null").select("doc_id").distinct()
+    """One document, all columns, of each group of near-duplicates; rows without a doc_id stay as they are."""
+    keep = _grouped(docs, p).where("kept and doc_id is not null").select("doc_id", "text_hash").distinct()
+    rows = docs.where("doc_id is not null").select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"))
     # most ids are kept, so they grow with the corpus: a shuffle at every size
-    one = docs.join(keep.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    one = rows.join(keep.hint("merge"), ["doc_id", "text_hash"], "left_semi").dropDuplicates(["doc_id", "text_hash"]).select("row.*")
     return one.unionByName(docs.where("doc_id is null"))
 
 

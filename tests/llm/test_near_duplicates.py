@@ -155,3 +155,17 @@ def test_vector_edge_tables(spark):
     assert vec.near_duplicates(empty).collect() == []
     rows = spark.createDataFrame([(None, [1.0, 0.0]), (1, None), (2, [1.0, 0.0])], "vec_id long, embedding array<float>")
     assert sorted(map(tuple, vec.near_duplicates(rows).collect()), key=str) == sorted([(None, 0, None, True), (1, 0, 1, True), (2, 0, 2, True)], key=str)
+
+
+def test_rows_that_share_a_doc_id_are_told_apart_by_text(spark):
+    rnd = random.Random(12)
+    a, b, c, d = (" ".join(f"w{rnd.randrange(10**6)}" for _ in range(120)) for _ in range(4))
+    near = b.rsplit(" ", 1)[0] + " changed"
+    rows = [(1, a), (3, a), (3, b), (4, near), (3, b), (5, c), (5, d), (6, d), (7, c), (None, c), (8, None), (8, "")]
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, text_hash string, row int").repartition(4)
+    got = {(r.doc_id, r.component_id, r.n_shingles) for r in mh.near_duplicates(df).collect()}
+    assert got == {(1, 1, 117), (3, 1, 117), (3, 3, 117), (4, 3, 117), (5, 5, 117), (6, 5, 117), (7, 5, 117), (None, None, 117), (8, 8, 0)}
+    kept = mh.without_near_duplicates(df)
+    assert kept.columns == df.columns
+    assert sorted(map(str, kept.select("doc_id", "text").collect())) == sorted(str(r) for r in df.select("doc_id", "text").distinct().collect() if (r.doc_id, r.text) in [
+        (1, a), (3, b), (5, c), (5, d), (None, c), (8, None), (8, "")])
