@@ -16,7 +16,10 @@ question and of the answer.  A side of under 29 words is measured by shorter shi
 down to words, so short that one changed word spoils no more than a fifth of them (a side
 of two to four words may lack one word); its overlap is the larger of the two.
 
-The index goes to the executors only in shards of at most ``shard_bytes`` of item text.
+The index goes to the executors only in shards of about ``shard_bytes`` of item text.  Postings and
+block maxima are flat arrays with an entry only where a part or block holds the term, so an index
+takes at most some tens of bytes a word of its items (and 1 MB), whatever its vocabulary; each
+shard is one pass over the documents.
 Edge cases: null or blank texts have no passage; a null or blank item matches nothing;
 equal items match alike; repeated documents are one (doc_id, item_id) row, with their
 best passage; a null doc_id or item_id is kept as a null.
@@ -74,15 +77,36 @@ def grams(h: np.ndarray, k: int) -> np.ndarray:
     return textkit.shingles(np.zeros(len(h), np.int64), h, 1, k)[1] if len(h) >= k else h[:0]
 
 
+@dataclass
+class Postings:
+    """(place, weight) entries by term, each term's in order of place."""
+    start: np.ndarray                       # of each term's entries, and the end of the last
+    at: np.ndarray
+    weight: np.ndarray
+
+    def __getitem__(self, term: int) -> tuple[np.ndarray, np.ndarray]:
+        lo, hi = self.start[term], self.start[term + 1]
+        return self.at[lo:hi], self.weight[lo:hi]
+
+    def find(self, term: int, place: int, lo: int) -> int:
+        """The first entry of ``term`` from ``lo`` on that is not before ``place``."""
+        return bisect_left(self.at, place, lo, int(self.start[term + 1]))
+
+    def weight_at(self, term: int, place: int) -> float:
+        i = self.find(term, place, int(self.start[term]))
+        return float(self.weight[i]) if i < self.start[term + 1] and self.at[i] == place else 0.0
+
+
 @dataclass
 class Index:
-    """Postings by term in part order, with the largest weight of each term and of each block of parts."""
+    """Postings by term in part order, with the largest weight of each term and of each block of parts that holds it."""
     vocab: np.ndarray                       # sorted word hashes
     seen: np.ndarray                        # bitmap over the top bits of a hash
-    posts: list[tuple[list[int], list[float]]]
+    posts: Postings                         # by part
     top: np.ndarray                         # of each term
-    block_top: np.ndarray                   # term x block
-    item: list[int]                         # of each part
+    block_top: Postings                     # by block
+    item: np.ndarray                        # of each part
+    parts: np.ndarray                       # number of each item's
     whole: list[tuple[int, np.ndarray]]         # of each item: shingle length and hashes
     sides: list[list[tuple[float, list[tuple[int, np.ndarray]]]]]   # of each item: for question and answer the share needed, and their measures
     block: int
@@ -111,31 +135,36 @@ def build_index(items: list[tuple[int, str | None]], p: Params) -> Index:
     tf = [np.unique(np.searchsorted(vocab, x), return_counts=True) for x in parts]
     df = np.bincount(np.concatenate([np.zeros(0, np.int64), *(t for t, _ in tf)]), minlength=len(vocab))
     idf = np.log(1 + (len(parts) - df + 0.5) / (df + 0.5))
-    posts: list[tuple[list[int], list[float]]] = [([], []) for _ in vocab]
-    blocks = max(1, math.ceil(len(parts) / p.block))
-    block_top = np.zeros((len(vocab), blocks), np.float32)
-    for n, (t, c) in enumerate(tf):
-        w = idf[t] * c * (p.k1 + 1) / (c + p.k1 * (1 - p.b + p.b * len(parts[n]) / mean))
-        w /= w.sum()
-        for i, x in zip(t.tolist(), w.tolist()):
-            posts[i][0].append(n)
-            posts[i][1].append(x)
-        block_top[t, n // p.block] = np.maximum(block_top[t, n // p.block], w)
+    lengths = np.array([len(t) for t, _ in tf], np.int64)
+    part = np.repeat(np.arange(len(parts)), lengths)
+    term, c = (np.concatenate([np.zeros(0, np.int64), *(x[i] for x in tf)]) for i in (0, 1))
+    w = idf[term] * c * (p.k1 + 1) / (c + p.k1 * (1 - p.b + p.b * np.array([len(x) for x in parts])[part] / mean)) if len(part) else np.zeros(0)
+    w = w / np.bincount(part, w, len(parts))[part]          # a part's own words score 1
+    order = np.argsort(term, kind="stable")                 # parts stay in order within a term
+    term, part, w = term[order], part[order], w[order]
+    posts = Postings(np.searchsorted(term, np.arange(len(vocab) + 1)), part.astype(np.int32), w)
+    block = part // p.block
+    first = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])][:len(term)])
+    # rounded up, so that a bound stays one
+    block_top = np.nextafter(np.maximum.reduceat(w, first).astype(np.float32), np.float32(2)) if len(first) else np.zeros(0, np.float32)
+    blocks = Postings(np.searchsorted(term[first], np.arange(len(vocab) + 1)), block[first].astype(np.int32), block_top)
+    top = np.maximum.reduceat(block_top, blocks.start[:-1]) if len(vocab) else np.zeros(0, np.float32)
     seen = np.zeros(1 << 20, bool)
     seen[(vocab >> np.uint64(44)).astype(np.int64)] = True
-    return Index(vocab, seen, posts, block_top.max(1, initial=0), block_top, part_item, whole, sides, p.block)
+    item = np.array(part_item, np.int32)
+    return Index(vocab, seen, posts, top, blocks, item, np.bincount(item, minlength=len(items)), whole, sides, p.block)
 
 
 def block_max_wand(ix: Index, terms: list[int], threshold: float) -> list[tuple[int, float]]:
     """Every (part, score) of at least the threshold, for the distinct terms of a passage."""
     end = len(ix.item)
-    cursors = [[ix.posts[t][0][0], 0, t] for t in terms]      # part, place in the postings, term
+    posts, ends = ix.posts, ix.posts.start
+    cursors = [[int(posts.at[ends[t]]), int(ends[t]), t] for t in terms]      # part, entry in the postings, term
     out = []
 
     def advance(c, part):
-        ids = ix.posts[c[2]][0]
-        c[1] = bisect_left(ids, part, c[1])
-        c[0] = ids[c[1]] if c[1] < len(ids) else end
+        c[1] = posts.find(c[2], part, c[1])
+        c[0] = int(posts.at[c[1]]) if c[1] < ends[c[2] + 1] else end
 
     while True:
         cursors.sort()
@@ -153,7 +182,7 @@ def block_max_wand(ix: Index, terms: list[int], threshold: float) -> list[tuple[
         while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == part:
             pivot += 1
         block = part // ix.block
-        if sum(float(ix.block_top[c[2], block]) for c in cursors[:pivot + 1]) < threshold:
+        if sum(ix.block_top.weight_at(c[2], block) for c in cursors[:pivot + 1]) < threshold:
             # no part of this block up to the next cursor can reach it
             past = (block + 1) * ix.block
             if pivot + 1 < len(cursors):
@@ -161,7 +190,7 @@ def block_max_wand(ix: Index, terms: list[int], threshold: float) -> list[tuple[
             for c in cursors[:pivot + 1]:
                 advance(c, max(past, part + 1))
         elif cursors[0][0] == part:
-            score = sum(ix.posts[c[2]][1][c[1]] for c in cursors[:pivot + 1])
+            score = sum(float(posts.weight[c[1]]) for c in cursors[:pivot + 1])
             if score >= threshold:
                 out.append((part, score))
             for c in cursors[:pivot + 1]:
@@ -172,6 +201,28 @@ def block_max_wand(ix: Index, terms: list[int], threshold: float) -> list[tuple[
                     advance(c, part)
 
 
+def block_reach(ix: Index, passages: list[np.ndarray], threshold: float, room: int = 1 << 20) -> np.ndarray:
+    """Of each passage (its distinct terms): whether the largest weights within some block of parts sum to the
+    threshold.  Only entries of the passages' own terms are read, about ``room`` at a time."""
+    blocks = -(-len(ix.item) // ix.block)
+    size = ix.block_top.start[1:] - ix.block_top.start[:-1]
+    out = np.zeros(len(passages), bool)
+    lo = 0
+    while lo < len(passages):
+        hi, entries = lo, 0
+        while hi < len(passages) and (hi == lo or (entries < room and (hi - lo) * blocks < room)):
+            entries += int(size[passages[hi]].sum())
+            hi += 1
+        terms = np.concatenate(passages[lo:hi])
+        n = size[terms]
+        entry = np.arange(n.sum()) + np.repeat(ix.block_top.start[terms] - (np.cumsum(n) - n), n)
+        row = np.repeat(np.repeat(np.arange(hi - lo), [len(t) for t in passages[lo:hi]]), n)
+        sums = np.bincount(row * blocks + ix.block_top.at[entry], ix.block_top.weight[entry], (hi - lo) * blocks)
+        out[lo:hi] = sums.reshape(hi - lo, blocks).max(1) >= threshold
+        lo = hi
+    return out
+
+
 def _share(measure: tuple[int, np.ndarray], window: np.ndarray) -> float:
     k, own = measure
     return float(np.isin(own, grams(window, k)).mean())
@@ -198,29 +249,20 @@ def _slice_hits(ix: Index, p: Params, buf: np.ndarray, offs: np.ndarray):
     again = np.zeros(len(pair), bool)                      # the word is in the next half, too
     again[np.searchsorted(pair, np.intersect1d(pair + len(ix.vocab), pair, assume_unique=True) - len(ix.vocab))] = True
 
-    def bounds(weights):
-        """Of each passage: the sum over its distinct words."""
-        sums = np.zeros((n_half + 1, weights.shape[1]), np.float32)
-        full = np.flatnonzero(np.diff(cuts))
-        sums[full] = np.add.reduceat(weights, cuts[full])
-        twice = np.zeros_like(sums)
-        here, first_of = np.unique(at[again], return_index=True)
-        if len(here):
-            twice[here] = np.add.reduceat(weights[again], first_of)
-        return sums[:-1] + sums[1:] - twice[:-1]
-
     eps = 1e-4
     if not len(pair):
         return
-    reach = (bounds(ix.top[term][:, None])[:, 0] >= p.threshold - eps) & (np.diff(starts) > 0)
-    near = np.zeros(n_half, bool)
-    for lo in range(0, ix.block_top.shape[1] if reach.any() else 0, 64):
-        near |= (bounds(ix.block_top[:, lo:lo + 64][term]) >= p.threshold - eps).any(1)
-    for a in np.flatnonzero(reach & near):
-        terms = np.unique(term[cuts[a]:cuts[a + 2]])
+    weights = ix.top[term]
+    sums = np.bincount(at, weights, n_half + 1)
+    # of each passage, two halves: the sum over its distinct words
+    bound = sums[:-1] + sums[1:] - np.bincount(at[again], weights[again], n_half + 1)[:-1]
+    reach = np.flatnonzero((bound >= p.threshold - eps) & (np.diff(starts) > 0))
+    asked = [np.unique(term[cuts[a]:cuts[a + 2]]) for a in reach.tolist()]
+    near = block_reach(ix, asked, p.threshold - eps)
+    for a, terms in ((a, t) for a, t, ok in zip(reach.tolist(), asked, near.tolist()) if ok):
         best = {}
         for part, score in block_max_wand(ix, terms.tolist(), p.threshold - eps):
-            n = ix.item[part]
+            n = int(ix.item[part])
             best[n] = max(score, best.get(n, 0.0))
         if not best:
             continue
@@ -229,7 +271,7 @@ def _slice_hits(ix: Index, p: Params, buf: np.ndarray, offs: np.ndarray):
         last = int(np.searchsorted(doc, d, "right"))
         for n, score in best.items():
             # a cut item is looked for around its part, any other in the passage
-            longest = p.passage * ix.item.count(n)
+            longest = p.passage * int(ix.parts[n])
             window = h[max(int(first[lo]), lo - longest + p.passage):min(last, lo + p.passage + longest)]
             share = [max(_share(m, window) for m in measures) for _, measures in ix.sides[n]]
             if share and (all(s >= need - 1e-9 for s, (need, _) in zip(share, ix.sides[n])) or _share(ix.whole[n], window) >= p.overlap):

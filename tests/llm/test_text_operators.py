@@ -1,6 +1,7 @@
 """Decontamination, secrets, chat, token and piece operators against brute force, libraries and SQL, with edge rows."""
 
 import hashlib
+import pickle
 import random
 import re
 import time
@@ -115,6 +116,49 @@ def test_block_max_wand_equals_full_scores():
                 assert all(abs(full[x] - s) < 1e-9 for x, s in got.items())
 
 
+def test_block_bounds_equal_their_definition():
+    rnd = random.Random(9)
+    vocabulary = [prose(rnd, 1) for _ in range(150)]
+    items = [(i, " ".join(rnd.choice(vocabulary) for _ in range(rnd.randint(1, 90)))) for i in range(70)]
+    for block in (1, 4):
+        p = decontaminate.Params(block=block, passage=16)
+        ix = decontaminate.build_index(items, p)
+        passages = [np.array(sorted(rnd.sample(range(len(ix.vocab)), rnd.randint(1, 60)))) for _ in range(200)]
+        best = []
+        for terms in passages:
+            tops = {}
+            for t in terms.tolist():
+                mine = {}
+                for part, w in zip(*ix.posts[t]):
+                    mine[part // block] = max(w, mine.get(part // block, 0.0))
+                for b, w in mine.items():
+                    tops[b] = tops.get(b, 0.0) + w
+            best.append(max(tops.values()))
+        for threshold in (0.2, 0.4, 0.6):
+            for room in (1, 500, 1 << 20):
+                assert decontaminate.block_reach(ix, passages, threshold, room).tolist() == [x >= threshold for x in best]
+
+
+def test_an_index_is_in_proportion_to_its_items():
+    rnd = random.Random(10)
+    vocabulary = [prose(rnd, 1) + str(i) for i in range(25000)]
+    sizes = []
+    for n in (4000, 12500):                                # 12,500 items are about four megabytes
+        items = [(i, " ".join(rnd.choices(vocabulary, k=28)) + ". " + " ".join(rnd.choices(vocabulary, k=6)) + ".") for i in range(n)]
+        text = sum(len(t) for _, t in items)
+        sizes.append((len(pickle.dumps(decontaminate.build_index(items, decontaminate.Params()))) - (1 << 20)) / text)
+    assert max(sizes) < 12 and sizes[1] < 1.1 * sizes[0]
+
+
+def test_a_very_long_text_is_searched_to_its_end(spark):
+    rnd = random.Random(11)
+    items = [(i, prose(rnd, 30) + ". " + prose(rnd, 8) + ".") for i in range(5)]
+    body = prose(rnd, 20000)
+    docs = [(1, " ".join([body] * 20) + " " + items[2][1]), (2, items[4][1] + " " + body), (3, body)]
+    got = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == {(1, 2), (2, 4)}
+
+
 # ------------------------------------------------------------------ secrets
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
