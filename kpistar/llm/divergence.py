@@ -44,6 +44,8 @@ NOT_LETTER = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 ONE = 1_000_000_000
+#: Rows of a batch that goes back to Spark: the JVM holds a few such batches beside its heap.
+ROWS_OUT = 16_384
 
 
 @dataclass(frozen=True)
@@ -117,11 +119,15 @@ def _counted(p: Params):
                                        "n": np.bincount(inv, n).astype(np.int64), "docs": np.bincount(inv)}))
             if not found:
                 continue
-            t = pa.concat_tables(found).group_by(["g", "digest", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
+            t, found = pa.concat_tables(found), None
+            t = t.group_by(["g", "digest", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
             g = t["g"].to_numpy()
             yield from pa.table({
                 "l": lang[g], "g": coded.dictionary.take(pa.array(g)), "digest": t["digest"],
-                "n": t["n_sum"], "docs": t["docs_sum"].cast(pa.int64()), "term": t["term"].cast(pa.binary()).cast(pa.string())}).combine_chunks().to_batches()
+                "n": t["n_sum"], "docs": t["docs_sum"].cast(pa.int64()), "term": t["term"].cast(pa.binary()).cast(pa.string())}).to_batches(max_chunksize=ROWS_OUT)
+            # what this batch took goes back before the next one comes
+            t = None
+            pa.default_memory_pool().release_unused()
     return run
 
 
