@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from kpistar.operators import skewsafe
 from kpistar.operators.joins import MANY, large_key_pieces, left_join_many
-from kpistar.plans import blocks, dims, legacy, reports
+from kpistar.operators.materialize import materialize
+from kpistar.plans import blocks, dims, facts, legacy, reports
 from kpistar.registry import domain, legacy_domain
+from kpistar.sources.domain import Domain
 
 from conftest import SF_SMALL
 
@@ -73,3 +75,34 @@ def test_lookups_by_event_hold_only_what_events_name(spark):
 def test_bookings_outside_the_period_are_not_joined(spark):
     plan = legacy.legacy_rows.__wrapped__(legacy_domain(spark, SF_SMALL))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LeftSemi") >= 2
+
+
+def test_participant_lookups_go_to_no_driver(spark):
+    """Users and memberships grow with the data: no report broadcasts them, staff reads the users that posts name."""
+    d = domain(spark, SF_SMALL)
+    for make in (lambda: reports.education_star(d), lambda: facts.participations_fact(d), lambda: dims.internal_staff.__wrapped__(d)):
+        lines = make()._jdf.queryExecution().executedPlan().toString().splitlines()
+        hashed = [x for x in lines if "BroadcastHashJoin" in x]
+        assert hashed and not any("], [du_user_id" in x or "], [ds_user_id" in x for x in hashed)
+    assert not any("customer.parquet" in x for x in lines)
+    assert 0 < dims.posted_users(d).count() < d.users.count()
+
+
+def test_education_star_with_repeated_events_of_two_brands(spark):
+    """Narrow participations first gives the rows of D19 LEFT JOIN D20 event row by event row."""
+    d = domain(spark, SF_SMALL)
+    tables = {t: getattr(d, t) for t in Domain.TABLES}
+    seminar = F.col("seminar_id")
+    events = d.seminar_events.where("id % 16 < 4")
+    again = events.withColumn("seminar_id", F.when(F.col("id") % 3 == 0, seminar + 1).when(F.col("id") % 3 == 1, seminar).cast(d.seminar_events.schema["seminar_id"].dataType))
+    tables["seminar_events"] = materialize(d.seminar_events.unionByName(again))
+    two = Domain.from_tables(tables)
+    sem = facts.seminars_fact(two, keep_brand_code=True)
+    prt = two.participations.select("seminar_event_id", F.col("user_id").alias("p_user"))
+    du = dims.users_dim(two).select(*[F.col(c).alias(f"du_{c}") for c in dims.users_dim(two).columns])
+    ds = dims.users_salons_dim(two).select(*[F.col(c).alias(f"ds_{c}") for c in dims.users_salons_dim(two).columns])
+    plain = (sem.join(prt, sem.event_id == prt.seminar_event_id, "left").join(du, F.col("p_user") == F.col("du_user_id"), "left")
+             .join(ds, (F.col("p_user") == F.col("ds_user_id")) & (F.col("_brn_code") == F.col("ds_code")), "left"))
+    got = reports.education_star(two, ordered=False)
+    want = plain.select(*[c for c in sem.columns if c != "_brn_code"], "seminar_event_id", *[a for a, _ in facts.PARTICIPANT_COLS]).toDF(*got.columns)
+    _same_rows(want, got)
