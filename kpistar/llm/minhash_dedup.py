@@ -157,10 +157,10 @@ def _grouped(docs: DataFrame, p: Params) -> DataFrame:
     scratch = Scratch(spark, "minhash")
     docs = docs.select("doc_id", "text")
     feats = scratch.put(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_features(p), "doc_id long, text_hash long, n long, digest binary, sig array<int>"), "features")
-    classes = feats.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("cls"))
-    reps = scratch.put(
-        feats.where("digest is not null").join(classes, "digest").where("doc_id = cls").select("cls", "digest", "sig")
-        .dropDuplicates(["cls", "digest"]).select("cls", "sig"), "reps")
+    # rows of one digest have one set, so one signature
+    reps = scratch.put(feats.where("digest is not null and doc_id is not null").groupBy("digest")
+                       .agg(F.min("doc_id").alias("cls"), F.first("sig").alias("sig")), "reps")
+    classes = reps.select("digest", "cls")
 
     # prefix: the rarest values of each signature
     token = F.expr("transform(sig, (x, i) -> shiftleft(cast(i as bigint), 32) | (cast(x as bigint) & 4294967295))")
@@ -173,10 +173,10 @@ def _grouped(docs: DataFrame, p: Params) -> DataFrame:
     lists = prefix.groupBy("token").agg(F.count(F.lit(1)).alias("len")).where("len > 1")
     posted = scratch.put(prefix.join(lists, "token"), "posted")
 
-    # short lists: pairs, counted and completed on the signatures
+    # short lists: pairs, counted and completed on the signatures; a class has at most ``short_list`` a token
     short = posted.where(F.col("len") <= p.short_list).select("token", "cls")
     pairs = (short.select("token", F.col("cls").alias("a")).join(short.select("token", F.col("cls").alias("b")), "token").where("a < b")
-             .select("a", "b").distinct())
+             .groupBy("a").agg(F.collect_set("b").alias("b")).select("a", F.explode("b").alias("b")))
     agree = F.expr("aggregate(zip_with(sig_a, sig_b, (x, y) -> if(x = y, 1, 0)), 0, (s, x) -> s + x)")
     pairs = scratch.put(pairs.join(reps.select(F.col("cls").alias("a"), F.col("sig").alias("sig_a")), "a")
                         .join(reps.select(F.col("cls").alias("b"), F.col("sig").alias("sig_b")), "b")
@@ -201,13 +201,12 @@ def _grouped(docs: DataFrame, p: Params) -> DataFrame:
                  .where(100 * both >= p.percent * (F.size("set_a") + F.size("set_b") - both))
                  .select(F.col("a").alias("u"), F.col("b").alias("v")))
     member = block.join(sets, "cls").select(F.struct("home", "part").alias("blk"), "cls", "shingles")
-    blocks = (meet.join(member, meet.x == member.blk).select("meet", "x", "y", F.lit(0).alias("side"), "cls", "shingles")
-              .unionByName(meet.where("x <> y").join(member, meet.y == member.blk).select("meet", "x", "y", F.lit(1).alias("side"), "cls", "shingles")))
+    sides = meet.select("meet", "x", "y", F.posexplode(F.expr("if(x = y, array(x), array(x, y))")).alias("side", "blk"))
+    blocks = sides.join(member, "blk").select("meet", "x", "y", "side", "cls", "shingles")
     found = blocks.groupBy("meet", "x", "y").applyInPandas(_block_links(p.percent), "u long, v long")
-    edges = scratch.put(confirmed.unionByName(found), "links")
-    scratch.drop("sets", "prefix", "posted", "pairs", "blocks", "reps")
+    comp = components(scratch, confirmed.unionByName(found))
+    scratch.drop("sets", "prefix", "posted", "pairs", "blocks")
 
-    comp = components(scratch, edges)
     of_class = classes.join(comp.withColumnRenamed("node", "cls"), "cls", "left").select("digest", F.coalesce("component", "cls").alias("component"))
     row = feats.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "digest").join(of_class, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))

@@ -98,6 +98,30 @@ def test_components_of_a_path_and_a_star(spark):
     assert got == smallest_reachable({x for e in path + star for x in e}, path + star)
 
 
+def test_components_of_stars_need_no_round(spark):
+    scratch = Scratch(spark, "t")
+    edges = spark.createDataFrame([(1, 5), (6, 1), (2, 9), (9, 2)], "u long, v long")
+    got = {r.node: r.component for r in components(scratch, edges).collect()}
+    assert got == {1: 1, 5: 1, 6: 1, 2: 2, 9: 2}
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch.base)
+    tables = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    assert [t.getPath().getName() for t in tables] == ["edges-0"]
+
+
+def test_exchanges_of_the_minhash_tables(spark, monkeypatch):
+    plans, put = {}, Scratch.put
+    def recorded(self, df, name):
+        plans[name] = df._jdf.queryExecution().sparkPlan().toString()
+        return put(self, df, name)
+    monkeypatch.setattr(Scratch, "put", recorded)
+    words = [f"w{i}" for i in range(60)]
+    df = spark.createDataFrame([(i, " ".join(words[:50 + i % 3])) for i in range(1, 40)], "doc_id long, text string")
+    assert {r.component_id for r in mh.near_duplicates(df).collect()} == {1}
+    assert plans["reps"].count("Join") == 0        # one grouping by digest gives the class and its signature
+    assert "links" not in plans                    # links go straight to the edges of the components
+    assert plans["edges-0"].count("FlatMapGroupsInPandas") == 1 and plans["edges-0"].count("Union") == 1
+
+
 def vectors():
     rnd = np.random.default_rng(5)
     out = []
