@@ -12,10 +12,16 @@ defaults (64, 36) a pair at exactly 0.8 is missed with probability 5e-7.
   alone has are counted, not posted.
 * Short lists (up to ``short_list`` classes) yield their pairs; collisions are counted
   on the signatures, and pairs of fewer than ``matches`` skipped.
-* Longer lists never yield pairs.  Their classes are dealt into blocks by their longest
-  list; two blocks that share a list are intersected in one task (at most
-  ``2 * block_rows`` sets), which returns a spanning forest of its links.  This is
-  exact, needs no cap, and its rows grow with blocks, not with pairs.
+* Longer lists never yield pairs.  A class leaves them if too many of its shingles are in
+  no other class for any link.  In each of a few ``rounds`` every list takes a leader
+  (the class whose lists are the longest of those that have not led yet), its other
+  classes are confirmed against it, and a list whose classes are all in one component
+  is done: a group of copies of one text takes rows in proportion to its size.
+* What is left are lists that hold several components.  Their classes are dealt into
+  blocks by the leaders they share; two blocks that share a list are intersected in one
+  task (at most ``2 * block_rows`` sets), which returns a spanning forest of its links.
+  Classes that are in the largest component of each of their lists need not meet each
+  other.  This is exact and needs no cap.
 
 Edge cases: a null or blank text has an empty set and links with nothing; a text of
 fewer words than ``k`` has its whole word sequence as its one shingle; rows that share
@@ -31,7 +37,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpistar.llm import textkit
@@ -45,6 +51,7 @@ class Params:
     coordinates: int = 64
     matches: int = 36
     short_list: int = 16
+    rounds: int = 2          # leaders that a long list has before its blocks meet
     block_rows: int = 256
 
 
@@ -145,6 +152,85 @@ def _block_links(percent: int):
     return run
 
 
+def _agreeing(pairs: DataFrame, sigs: DataFrame, p: Params) -> DataFrame:
+    """The pairs (a, b) whose signatures, of ``sigs`` (cls, sig), agree often enough."""
+    agree = F.expr("aggregate(zip_with(sig_a, sig_b, (x, y) -> if(x = y, 1, 0)), 0, (s, x) -> s + x)")
+    return (pairs.join(sigs.select(F.col("cls").alias("a"), F.col("sig").alias("sig_a")), "a")
+            .join(sigs.select(F.col("cls").alias("b"), F.col("sig").alias("sig_b")), "b")
+            .where(agree >= p.matches).select("a", "b"))
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+    """The pairs (a, b) that are links on their full sets, of ``sets`` (cls, shingles), as u, v."""
+    both = F.size(F.array_intersect("set_a", "set_b"))
+    return (pairs.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("set_a")), "a")
+            .join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("set_b")), "b")
+            .where(100 * both >= p.percent * (F.size("set_a") + F.size("set_b") - both))
+            .select(F.col("a").alias("u"), F.col("b").alias("v")))
+
+
+def _undecided(members: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+    """The members of lists that hold several components, without the classes that have too many shingles of their
+    own for any link: a link shares ``percent`` of the shingles of either side."""
+    of = sets.join(members.select("cls").distinct(), "cls", "left_semi")
+    lonely = (of.select("cls", F.explode("shingles").alias("s")).groupBy("s").agg(F.min("cls").alias("cls"), F.max("cls").alias("last"))
+              .where("cls = last").groupBy("cls").agg(F.count(F.lit(1)).alias("lonely")))
+    # rows of several texts that share a doc_id are one class: any of its sets may have the link
+    size = of.groupBy("cls").agg(F.sum(F.size("shingles")).alias("total"), F.min(F.size("shingles")).alias("least"))
+    able = (size.join(lonely, "cls", "left").where(100 * F.coalesce("lonely", F.lit(0)) <= 100 * F.col("total") - p.percent * F.col("least")).select("cls"))
+    left = members.join(able, "cls", "left_semi")
+    several = left.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("token")
+    return left.join(several, "token", "left_semi")
+
+
+def _led(scratch: Scratch, hot: DataFrame, sigs: DataFrame, sets: DataFrame, links: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
+    """Links (u, v) that join the same components as ``links`` and those to the leaders of the long lists; and the
+    (token, cls, weight, component) of the lists that hold several components after that."""
+    members = hot.join(hot.groupBy("cls").agg(F.sum("len").alias("weight")), "cls").select("token", "cls", "weight", F.lit(0).alias("turn"), F.col("cls").alias("component"))
+    members = scratch.put(_undecided(members, sets, p), "members-0")
+    for n in range(1, p.rounds + 1):
+        if members.isEmpty():
+            break
+        lead = members.groupBy("token").agg(F.max(F.struct(-F.col("turn"), "weight", "cls", "component")).alias("lead")).select("token", "lead.cls", "lead.component")
+        lead = scratch.put(lead, f"lead-{n}")
+        pairs = (members.join(lead.select("token", F.col("cls").alias("b"), F.col("component").alias("of_b")), "token").where("component <> of_b")
+                 .select(F.col("cls").alias("a"), "b").distinct())
+        new = _confirmed(_agreeing(pairs, sigs, p).distinct(), sets, p)
+        comp = components(Scratch(scratch.spark, "minhash-round"), links.unionByName(new))
+        links = comp.select(F.col("node").alias("u"), F.col("component").alias("v"))
+        members = (members.drop("component").join(comp.withColumnRenamed("node", "cls"), "cls", "left")
+               .join(lead.select("cls", F.lit(n).alias("now")).distinct(), "cls", "left")
+               .select("token", "cls", "weight", F.coalesce("now", "turn").alias("turn"), F.coalesce("component", "cls").alias("component")))
+        members = scratch.put(_undecided(members, sets, p), f"members-{n}")
+        scratch.drop(f"members-{n - 1}", f"lead-{n}")
+    return links, members.drop("turn")
+
+
+def _blocks(members: DataFrame, p: Params) -> DataFrame:
+    """(cls, blk) of every class; blk is the best leader of its lists, whether it is outside the largest component
+    of one of its lists (``rest``), and a part of at most about ``block_rows`` classes."""
+    size = members.select("cls", "component").distinct().groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    top = (members.join(size, "component").groupBy("token")
+           .agg(F.max(F.struct("weight", "cls")).alias("home"), F.max(F.struct("size", "component"))["component"].alias("top")))
+    home = (members.join(top, "token").groupBy("cls").agg(F.max("home")["cls"].alias("home"), F.max(F.col("component") != F.col("top")).alias("rest")))
+    dealt = home.groupBy("home", "rest").agg(F.ceil(F.count(F.lit(1)) / p.block_rows).alias("blocks"))
+    return home.join(dealt, ["home", "rest"]).select("cls", F.struct("home", "rest", F.expr("pmod(xxhash64(cls), blocks)").alias("part")).alias("blk"))
+
+
+def _long_lists(scratch: Scratch, hot: DataFrame, sigs: DataFrame, sets: DataFrame, links: DataFrame, p: Params) -> DataFrame:
+    """Links (u, v) of the same components as ``links`` and all links between classes that share a long list.
+
+    ``hot`` has token, cls and len; ``sigs`` (cls, sig) and ``sets`` (cls, shingles) are those of its classes."""
+    links, members = _led(scratch, hot, sigs, sets, links, p)
+    block = scratch.put(_blocks(members, p), "blocks")
+    on = members.select("token", "cls").join(block, "cls").select("token", "blk").distinct()
+    meet = (on.withColumnRenamed("blk", "x").join(on.withColumnRenamed("blk", "y"), "token").where("x <= y and (x.rest or y.rest)")
+            .select("x", "y").distinct().withColumn("meet", F.xxhash64("x", "y")))
+    sides = meet.select("meet", "x", "y", F.posexplode(F.expr("if(x = y, array(x), array(x, y))")).alias("side", "blk"))
+    parts = sides.join(block.join(sets, "cls"), "blk").select("meet", "x", "y", "side", "cls", "shingles")
+    return links.unionByName(parts.groupBy("meet", "x", "y").applyInPandas(_block_links(p.percent), "u long, v long"))
+
+
 def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text)."""
     return _grouped(docs, p).drop("text_hash")
@@ -177,35 +263,17 @@ def _grouped(docs: DataFrame, p: Params) -> DataFrame:
     short = posted.where(F.col("len") <= p.short_list).select("token", "cls")
     pairs = (short.select("token", F.col("cls").alias("a")).join(short.select("token", F.col("cls").alias("b")), "token").where("a < b")
              .groupBy("a").agg(F.collect_set("b").alias("b")).select("a", F.explode("b").alias("b")))
-    agree = F.expr("aggregate(zip_with(sig_a, sig_b, (x, y) -> if(x = y, 1, 0)), 0, (s, x) -> s + x)")
-    pairs = scratch.put(pairs.join(reps.select(F.col("cls").alias("a"), F.col("sig").alias("sig_a")), "a")
-                        .join(reps.select(F.col("cls").alias("b"), F.col("sig").alias("sig_b")), "b")
-                        .where(agree >= p.matches).select("a", "b"), "pairs")
+    pairs = scratch.put(_agreeing(pairs, reps, p), "pairs")
 
-    # long lists: blocks of classes that have the same longest list
     hot = posted.where(F.col("len") > p.short_list)
-    home = hot.groupBy("cls").agg(F.max(F.struct("len", "token"))["token"].alias("home"))
-    dealt = home.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / p.block_rows).alias("blocks"))
-    block = scratch.put(home.join(dealt, "home").select("cls", "home", F.expr("pmod(xxhash64(cls), blocks)").alias("part")), "blocks")
-    on = hot.join(block, "cls").select("token", F.struct("home", "part").alias("blk")).distinct()
-    meet = (on.withColumnRenamed("blk", "x").join(on.withColumnRenamed("blk", "y"), "token").where("x <= y")
-            .select("x", "y").distinct().withColumn("meet", F.xxhash64("x", "y")))
-
-    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(block.select("cls")).distinct()
+    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(hot.select("cls")).distinct()
     # the ids grow with the corpus: a shuffle at every size, never a broadcast
     sets = scratch.put(docs.join(wanted.withColumnRenamed("cls", "doc_id").hint("merge"), "doc_id", "left_semi")
                        .mapInArrow(_sets(p), "cls long, shingles array<bigint>").where("size(shingles) > 0"), "sets")
-    both = F.size(F.array_intersect("set_a", "set_b"))
-    confirmed = (pairs.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("set_a")), "a")
-                 .join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("set_b")), "b")
-                 .where(100 * both >= p.percent * (F.size("set_a") + F.size("set_b") - both))
-                 .select(F.col("a").alias("u"), F.col("b").alias("v")))
-    member = block.join(sets, "cls").select(F.struct("home", "part").alias("blk"), "cls", "shingles")
-    sides = meet.select("meet", "x", "y", F.posexplode(F.expr("if(x = y, array(x), array(x, y))")).alias("side", "blk"))
-    blocks = sides.join(member, "blk").select("meet", "x", "y", "side", "cls", "shingles")
-    found = blocks.groupBy("meet", "x", "y").applyInPandas(_block_links(p.percent), "u long, v long")
-    comp = components(scratch, confirmed.unionByName(found))
-    scratch.drop("sets", "prefix", "posted", "pairs", "blocks")
+    long = hot.select("cls").distinct()
+    sigs = scratch.put(reps.select("cls", "sig").join(long, "cls", "left_semi"), "hot-sigs")
+    comp = components(scratch, _long_lists(scratch, hot, sigs, scratch.put(sets.join(long, "cls", "left_semi"), "hot-sets"), _confirmed(pairs, sets, p), p))
+    scratch.drop("sets", "hot-sigs", "hot-sets", "prefix", "posted", "pairs", "blocks")
 
     of_class = classes.join(comp.withColumnRenamed("node", "cls"), "cls", "left").select("digest", F.coalesce("component", "cls").alias("component"))
     row = feats.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "digest").join(of_class, "digest", "left")

@@ -71,6 +71,30 @@ def test_minhash_equals_brute_force(spark, params):
     assert got == brute(rows)
 
 
+def copies_of(base, n, changed, rnd):
+    """``n`` copies of ``base`` with the numbers of changed words, in turn, of ``changed``."""
+    for i in range(n):
+        v = list(base)
+        for at in rnd.sample(range(len(v)), changed[i % len(changed)]):
+            v[at] = f"x{rnd.random()}"
+        yield " ".join(v)
+
+
+@pytest.mark.parametrize("bases, apart", [(1, False), (2, True)])
+def test_blocks_of_one_component_do_not_meet(spark, monkeypatch, bases, apart):
+    rnd = random.Random(3)
+    base = [f"w{i}" for i in range(150)]
+    far = [f"y{w}" if i % 17 == 3 else w for i, w in enumerate(base)]       # shares long lists with base, but is no link
+    texts = [*copies_of(base, 120, (0, 1, 2, 12), rnd), *(copies_of(far, 120, (0, 1, 2), rnd) if bases == 2 else ())]
+    left = []
+    led = mh._led
+    monkeypatch.setattr(mh, "_led", lambda *a: left.append((out := led(*a))[1].count()) or out)
+    rows = list(enumerate(texts, 1))
+    got = mh.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), mh.Params(short_list=4, block_rows=8)).collect()
+    assert sorted(map(tuple, got)) == brute(rows)
+    assert (left[0] > 0) == apart
+
+
 def test_minhash_edge_rows(spark):
     rows = [(1, None, "a"), (2, None, "b"), (3, "w x y z", "c"), (3, "w x y z", "d"), (None, "w x y z", "e"), (4, "W X y z", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, digest string")
