@@ -13,10 +13,10 @@ defaults (64, 36) a pair at exactly 0.8 is missed with probability 5e-7.
 * Short lists (up to ``short_list`` classes) yield their pairs; collisions are counted
   on the signatures, and pairs of fewer than ``matches`` skipped.
 * Longer lists never yield pairs.  A class leaves them if too many of its shingles are in
-  no other class for any link.  In each of a few ``rounds`` every list takes a leader
-  (the class whose lists are the longest of those that have not led yet), its other
-  classes are confirmed against it, and a list whose classes are all in one component
-  is done: a group of copies of one text takes rows in proportion to its size.
+  no other class for any link.  Every list takes a leader (the class whose lists are the
+  longest), its other classes are confirmed against it, and a list whose classes are all
+  linked through one leader is done: a group of copies of one text takes rows in
+  proportion to its size.
 * What is left are lists that hold several components.  Their classes are dealt into
   blocks by the leaders they share; two blocks that share a list are intersected in one
   task (at most ``2 * block_rows`` sets), which returns a spanning forest of its links.
@@ -51,7 +51,6 @@ class Params:
     coordinates: int = 64
     matches: int = 36
     short_list: int = 16
-    rounds: int = 2          # leaders that a long list has before its blocks meet
     block_rows: int = 256
 
 
@@ -183,27 +182,22 @@ def _undecided(members: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
     return left.join(several, "token", "left_semi")
 
 
-def _led(scratch: Scratch, hot: DataFrame, sigs: DataFrame, sets: DataFrame, links: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
-    """Links (u, v) that join the same components as ``links`` and those to the leaders of the long lists; and the
-    (token, cls, weight, component) of the lists that hold several components after that."""
-    members = hot.join(hot.groupBy("cls").agg(F.sum("len").alias("weight")), "cls").select("token", "cls", "weight", F.lit(0).alias("turn"), F.col("cls").alias("component"))
-    members = scratch.put(_undecided(members, sets, p), "members-0")
-    for n in range(1, p.rounds + 1):
-        if members.isEmpty():
-            break
-        lead = members.groupBy("token").agg(F.max(F.struct(-F.col("turn"), "weight", "cls", "component")).alias("lead")).select("token", "lead.cls", "lead.component")
-        lead = scratch.put(lead, f"lead-{n}")
-        pairs = (members.join(lead.select("token", F.col("cls").alias("b"), F.col("component").alias("of_b")), "token").where("component <> of_b")
-                 .select(F.col("cls").alias("a"), "b").distinct())
-        new = _confirmed(_agreeing(pairs, sigs, p).distinct(), sets, p)
-        comp = components(Scratch(scratch.spark, "minhash-round"), links.unionByName(new))
-        links = comp.select(F.col("node").alias("u"), F.col("component").alias("v"))
-        members = (members.drop("component").join(comp.withColumnRenamed("node", "cls"), "cls", "left")
-               .join(lead.select("cls", F.lit(n).alias("now")).distinct(), "cls", "left")
-               .select("token", "cls", "weight", F.coalesce("now", "turn").alias("turn"), F.coalesce("component", "cls").alias("component")))
-        members = scratch.put(_undecided(members, sets, p), f"members-{n}")
-        scratch.drop(f"members-{n - 1}", f"lead-{n}")
-    return links, members.drop("turn")
+def _led(scratch: Scratch, hot: DataFrame, reps: DataFrame, sets: DataFrame, links: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
+    """``links`` (u, v) with those to the leaders of the long lists, and the (token, cls, weight, component) of the lists
+    that are not known to lie in one component then; classes of one ``component`` are linked through its leader."""
+    members = hot.join(hot.groupBy("cls").agg(F.sum("len").alias("weight")), "cls").select("token", "cls", "weight", F.col("cls").alias("component"))
+    members = scratch.put(_undecided(members, sets, p), "members")
+    if members.isEmpty():
+        return links, members
+    lead = members.groupBy("token").agg(F.max(F.struct("weight", "cls"))["cls"].alias("b"))
+    pairs = members.join(lead, "token").where("cls <> b").select(F.col("cls").alias("a"), "b").distinct()
+    new = scratch.put(_confirmed(_agreeing(pairs, reps, p), sets, p), "led")
+    # of the leaders that a class is linked with, itself among them, the one with the most links
+    most = new.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    of = (new.join(most, "v").select("u", "n", "v").union(most.select("v", "n", "v"))
+          .groupBy("u").agg(F.max(F.struct("n", "v"))["v"].alias("led")).withColumnRenamed("u", "cls"))
+    members = members.join(of, "cls", "left").select("token", "cls", "weight", F.coalesce("led", "cls").alias("component"))
+    return links.unionByName(new), scratch.put(_undecided(members, sets, p), "members-led")
 
 
 def _blocks(members: DataFrame, p: Params) -> DataFrame:
@@ -217,11 +211,11 @@ def _blocks(members: DataFrame, p: Params) -> DataFrame:
     return home.join(dealt, ["home", "rest"]).select("cls", F.struct("home", "rest", F.expr("pmod(xxhash64(cls), blocks)").alias("part")).alias("blk"))
 
 
-def _long_lists(scratch: Scratch, hot: DataFrame, sigs: DataFrame, sets: DataFrame, links: DataFrame, p: Params) -> DataFrame:
+def _long_lists(scratch: Scratch, hot: DataFrame, reps: DataFrame, sets: DataFrame, links: DataFrame, p: Params) -> DataFrame:
     """Links (u, v) of the same components as ``links`` and all links between classes that share a long list.
 
-    ``hot`` has token, cls and len; ``sigs`` (cls, sig) and ``sets`` (cls, shingles) are those of its classes."""
-    links, members = _led(scratch, hot, sigs, sets, links, p)
+    ``hot`` has token, cls and len; ``reps`` (cls, sig) and ``sets`` (cls, shingles) have those of its classes."""
+    links, members = _led(scratch, hot, reps, sets, links, p)
     block = scratch.put(_blocks(members, p), "blocks")
     on = members.select("token", "cls").join(block, "cls").select("token", "blk").distinct()
     meet = (on.withColumnRenamed("blk", "x").join(on.withColumnRenamed("blk", "y"), "token").where("x <= y and (x.rest or y.rest)")
@@ -271,9 +265,9 @@ def _grouped(docs: DataFrame, p: Params) -> DataFrame:
     sets = scratch.put(docs.join(wanted.withColumnRenamed("cls", "doc_id").hint("merge"), "doc_id", "left_semi")
                        .mapInArrow(_sets(p), "cls long, shingles array<bigint>").where("size(shingles) > 0"), "sets")
     long = hot.select("cls").distinct()
-    sigs = scratch.put(reps.select("cls", "sig").join(long, "cls", "left_semi"), "hot-sigs")
-    comp = components(scratch, _long_lists(scratch, hot, sigs, scratch.put(sets.join(long, "cls", "left_semi"), "hot-sets"), _confirmed(pairs, sets, p), p))
-    scratch.drop("sets", "hot-sigs", "hot-sets", "prefix", "posted", "pairs", "blocks")
+    hot_sets = scratch.put(sets.join(long, "cls", "left_semi"), "hot-sets")
+    comp = components(scratch, _long_lists(scratch, hot, reps, hot_sets, _confirmed(pairs, sets, p), p))
+    scratch.drop("sets", "hot-sets", "prefix", "posted", "pairs", "members", "members-led", "blocks")
 
     of_class = classes.join(comp.withColumnRenamed("node", "cls"), "cls", "left").select("digest", F.coalesce("component", "cls").alias("component"))
     row = feats.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "digest").join(of_class, "digest", "left")
