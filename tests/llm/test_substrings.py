@@ -123,6 +123,17 @@ def test_rounds_end_in_every_pair_that_is_left(spark):
         assert got == {30: 30, 31: 30}
 
 
+def test_passages_of_two_families_are_compared(spark):
+    """Two documents share 60 words, and each lies with them in a passage of a smaller document of its own."""
+    rnd, rows = random.Random(11), []
+    for n in range(0, 160, 4):
+        p, q, s = prose(rnd, 30), prose(rnd, 30), prose(rnd, 60)
+        rows += [(n + i, " ".join(prose(rnd, 40) + x + prose(rnd, 40))) for i, x in enumerate((p + s[:48], q + s[:48], p + s, q + s))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in substrings.repeated(df).collect()}
+    assert got == {d: d - d % 4 for d, _ in rows}
+
+
 @pytest.mark.parametrize("length, at", [(150, 120), (100, 60), (90, 55)])
 def test_a_passage_with_an_inserted_word_is_found_in_full(spark, length, at):
     rnd = random.Random(length)
