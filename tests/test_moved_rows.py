@@ -63,6 +63,25 @@ def test_discounts_and_payments_are_not_broadcast(spark):
         assert not [x for x in joins if "discount_id" in x or "_item" in x or "_order" in x]
 
 
+def _broadcast_scans(df) -> str:
+    """The scans below the plan's broadcasts."""
+    depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+    found, at = [], None
+    for x in _plan(df).splitlines():
+        at = None if at is not None and depth(x) <= at else at
+        if at is None and "BroadcastExchange" in x:
+            at = depth(x)
+        elif at is not None and "FileScan" in x:
+            found.append(x)
+    return "\n".join(found)
+
+
+def test_users_and_seminars_of_the_windowed_rows_are_not_broadcast(spark):
+    scans = _broadcast_scans(blocks.event_rows.__wrapped__(domain(spark, SF_SMALL)))
+    assert "duration#" in scans                  # of the seminars that events name, a written table
+    assert "salon_id#" not in scans and "part.parquet" not in scans
+
+
 def test_lookups_by_event_hold_only_what_events_name(spark):
     d = domain(spark, SF_SMALL)
     named = d.seminar_events.select("seminar_id").distinct()
