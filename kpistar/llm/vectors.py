@@ -6,10 +6,12 @@ covariance; the driver sees one matrix of the vectors' width), and sorted by the
 a grid of width eps on the leading axes.  The sequence is cut into blocks of about
 ``block_rows``; blocks are leaves of a tree of intervals with bounding boxes.  The join starts
 with the root and itself and goes down a level at a time: pairs of intervals whose boxes
-are further apart than eps are left out, the others become pairs of their children.  Pairs
-of leaves meet in one task each, which again skips distant stretches, computes cosines in
+are further apart than eps are left out, the others become pairs of their children.  Blocks are
+written once, a row each, with their components as they were read; a task reads two parts of them and
+compares the pairs of leaves that are left, where it again skips distant stretches, computes cosines in
 double precision, and returns link counts and a spanning forest of the links, never the
-pairs.  Equal vectors are one class beforehand, so copies do not multiply.
+pairs.  So disk grows with the rows, though pairs may with their square.  Equal vectors are one class
+beforehand, so copies do not multiply.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components link
 with nothing; vectors of different length compare as if the shorter ended in zeros; a null
@@ -22,13 +24,13 @@ import hashlib
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpistar.llm.shared import Scratch, components, ship
+from kpistar.operators.joins import bounded_broadcast
 
 
 @dataclass(frozen=True)
@@ -57,7 +59,14 @@ def unit(v: np.ndarray | None) -> np.ndarray | None:
     return v / np.sqrt((v * v).sum())
 
 
-def _units(batches):
+def _units(kind: str):
+    """(vec_id, key, raw) rows: the class of a vector, and its components as numbers of ``kind``."""
+    def run(batches):
+        yield from _keyed(batches, kind)
+    return run
+
+
+def _keyed(batches, kind: str):
     for b in batches:
         ids, keys, vecs = [], [], []
         a = b.column(b.schema.get_field_index("embedding"))
@@ -68,26 +77,30 @@ def _units(batches):
             u = unit(values[ends[i]:ends[i + 1]])
             raw = values[ends[i]:ends[i + 1]]
             keys.append(None if u is None else hashlib.md5((np.trim_zeros(raw, "b") + 0.0).tobytes()).digest())
-            vecs.append(None if u is None else u.tobytes())
+            vecs.append(None if u is None else raw.astype(kind).tobytes())
         yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index("vec_id")), pa.array(keys, pa.binary()), pa.array(vecs, pa.binary())],
-                                         names=["vec_id", "key", "unit"])
+                                         names=["vec_id", "key", "raw"])
 
 
-def _matrix(units: list[bytes], width: int) -> np.ndarray:
-    if all(len(u) == 8 * width for u in units):
-        return np.frombuffer(b"".join(units), np.float64).reshape(len(units), width)
-    out = np.zeros((len(units), width))
-    for i, u in enumerate(units):
-        out[i, :len(u) // 8] = np.frombuffer(u, np.float64)
-    return out
+def _matrix(raws: list[bytes], width: int, kind: str) -> np.ndarray:
+    """The vectors scaled to length 1 in double precision, as rows; shorter ones end in zeros."""
+    size = np.dtype(kind).itemsize
+    if all(len(r) == size * width for r in raws):
+        out = np.frombuffer(b"".join(raws), kind).reshape(len(raws), width).astype(np.float64)
+    else:
+        out = np.zeros((len(raws), width))
+        for i, r in enumerate(raws):
+            out[i, :len(r) // size] = np.frombuffer(r, kind)
+    out /= np.abs(out).max(1, keepdims=True)
+    return out / np.sqrt((out * out).sum(1, keepdims=True))
 
 
-def _moments(width: int):
+def _moments(width: int, kind: str):
     """Sums of x x' (upper triangle), of x (column ``width``) and the rows (at width, width) of a partition."""
     def run(batches):
         total = np.zeros((width + 1, width + 1))
         for b in batches:
-            x = _matrix(b.column(b.schema.get_field_index("unit")).to_pylist(), width)
+            x = _matrix(b.column(b.schema.get_field_index("raw")).to_pylist(), width, kind)
             x = np.concatenate([x, np.ones((len(x), 1))], 1)
             total += x.T @ x
         i, j = np.triu_indices(width + 1)
@@ -95,8 +108,8 @@ def _moments(width: int):
     return run
 
 
-def principal_axes(classes: DataFrame, width: int) -> np.ndarray:
-    sums = classes.mapInArrow(_moments(width), "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).toPandas()
+def principal_axes(classes: DataFrame, width: int, kind: str) -> np.ndarray:
+    sums = classes.select("raw").mapInArrow(_moments(width, kind), "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).toPandas()
     m = np.zeros((width + 1, width + 1))
     m[sums["i"], sums["j"]] = sums["v"]
     n = max(m[-1, -1], 1)
@@ -105,32 +118,30 @@ def principal_axes(classes: DataFrame, width: int) -> np.ndarray:
     return np.linalg.eigh(cov)[1][:, ::-1]
 
 
-def _cells(axes: np.ndarray, p: Params):
+def _cells(axes: np.ndarray, p: Params, kind: str):
     def run(batches):
         for b in batches:
-            x = _matrix(b.column(b.schema.get_field_index("unit")).to_pylist(), len(axes)) @ axes[:, :p.grid_axes]
+            x = _matrix(b.column(b.schema.get_field_index("raw")).to_pylist(), len(axes), kind) @ axes[:, :p.grid_axes]
             cells = np.floor(x / np.sqrt(p.reach)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.ListArray.from_arrays(
                 np.arange(len(x) + 1, dtype=np.int32) * cells.shape[1], cells.ravel())], names=[*b.schema.names, "cells"])
     return run
 
 
-def _blocks(axes: np.ndarray, p: Params):
-    """Consecutive rows of a sorted partition as small runs; a run's first row carries its box."""
+def _blocks(axes: np.ndarray, p: Params, kind: str):
+    """Consecutive rows of a sorted partition as blocks, one row each, with their box."""
     def run(batches):
         part, chunk = TaskContext.get().partitionId(), 0
-        size = max(1, p.block_rows // 8)
         for b in batches:
-            y = _matrix(b.column(b.schema.get_field_index("unit")).to_pylist(), len(axes)) @ axes
-            chunks, low, high = [], [None] * len(y), [None] * len(y)
-            for at in range(0, len(y), size):
-                rows = y[at:at + size]
-                chunks += [chunk] * len(rows)
-                low[at], high[at] = rows.min(0), rows.max(0)
+            raws = b.column(b.schema.get_field_index("raw"))
+            for at in range(0, len(raws), p.block_rows):
+                own = raws.slice(at, p.block_rows)
+                y = _matrix(own.to_pylist(), len(axes), kind) @ axes
+                one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part], pa.int64()), pa.array([chunk], pa.int64()), *(one(b.column(b.schema.get_field_index(c)).slice(at, p.block_rows)) for c in ("cls", "n")),
+                     one(own), pa.array([y.min(0)], pa.list_(pa.float64())), pa.array([y.max(0)], pa.list_(pa.float64()))], names=["part", "chunk", "cls", "n", "raw", "lo", "hi"])
                 chunk += 1
-            yield pa.RecordBatch.from_arrays(
-                [*(b.column(b.schema.get_field_index(c)) for c in ("cls", "n", "unit")), pa.array([part] * len(y), pa.int64()), pa.array(chunks, pa.int64()),
-                 pa.array(low, pa.list_(pa.float64())), pa.array(high, pa.list_(pa.float64()))], names=["cls", "n", "unit", "part", "chunk", "lo", "hi"])
     return run
 
 
@@ -147,6 +158,7 @@ def _interval_pairs(scratch: Scratch, blocks: DataFrame, bits: int, p: Params) -
     pairs = scratch.spark.range(1).select(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"))
     for shift in range((max(bits, 1) - 1) // p.fan_bits * p.fan_bits, -1, -p.fan_bits):
         level = scratch.put(_boxes(blocks, F.shiftright("code", shift)), f"boxes-{shift}").withColumn("up", F.shiftright("node", p.fan_bits))
+        level = bounded_broadcast(level)                       # boxes are not moved with every pair
         left = level.select(F.col("up").alias("a"), F.col("node").alias("na"), F.col("box").alias("box_a"))
         right = level.select(F.col("up").alias("b"), F.col("node").alias("nb"), F.col("box").alias("box_b"))
         down = pairs.join(left, "a").join(right, "b").where("na <= nb").where(gap <= p.reach)
@@ -169,17 +181,18 @@ def merge_links(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return label
 
 
-def _meet(axes: np.ndarray, p: Params):
-    """Link counts (u, null, n) and forest edges (u, v, null) of one pair of blocks."""
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["side", "part", "chunk", "cls"])
-        ids, n, left = rows["cls"].to_numpy(), rows["n"].to_numpy(), (rows["side"] == 0).to_numpy()
-        x = _matrix(list(rows["unit"]), len(axes))
+def _meet(axes: np.ndarray, p: Params, kind: str):
+    """Link counts (u, null, n) and forest edges (u, v, null) of each pair of blocks, a row each."""
+    def met(row: dict):
+        same = row["a"] == row["b"]
+        first, ids, n, raws = len(row["cls_a"]), row["cls_a"], row["n_a"], row["raw_a"]
+        if not same:
+            ids, n, raws = ids + row["cls_b"], n + row["n_b"], raws + row["raw_b"]
+        ids, n, x = np.array(ids, np.int64), np.array(n, np.int64), _matrix(raws, len(axes), kind)
         y = x @ axes
-        cuts = [np.arange(at, min(at + p.stretch, end)) for start, end in ((0, int(left.sum())), (int(left.sum()), len(ids))) for at in range(start, end, p.stretch)]
+        cuts = [np.arange(at, min(at + p.stretch, end)) for start, end in ((0, first), (first, len(ids))) for at in range(start, end, p.stretch)]
         box = [(y[c].min(0), y[c].max(0)) for c in cuts]
-        same = bool(left.all())
-        own = sum(left[c[0]] for c in cuts)
+        own = sum(c[0] < first for c in cuts)
         links, label = np.zeros(len(ids), np.int64), np.arange(len(ids))
         for a in range(own):
             for b in range(a, own) if same else range(own, len(cuts)):
@@ -198,45 +211,70 @@ def _meet(axes: np.ndarray, p: Params):
                 i, j = np.nonzero(hit)
                 label = merge_links(label, cuts[a][i], cuts[b][j])
         linked, child = np.flatnonzero(links), np.flatnonzero(label != np.arange(len(ids)))
-        none = lambda k: pd.array([None] * k, "Int64")
-        return pd.concat([
-            pd.DataFrame({"u": ids[linked], "v": none(len(linked)), "n": pd.array(links[linked], "Int64")}),
-            pd.DataFrame({"u": ids[child], "v": pd.array(ids[label[child]], "Int64"), "n": none(len(child))})])
+        return [np.concatenate(c) for c in ((ids[linked], ids[child]), (np.zeros(len(linked), np.int64), ids[label[child]]), (links[linked], np.zeros(len(child), np.int64)))], len(linked)
+
+    def run(batches):
+        for b in batches:
+            for k in range(len(b)):
+                (u, v, n), links = met(b.slice(k, 1).to_pylist()[0])
+                edge = np.arange(len(u)) >= links
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v, mask=~edge), pa.array(n, mask=edge)], names=["u", "v", "n"])
     return run
 
 
+#: Pairs of blocks in one batch, and parts of the sequence: the pairs of parts are the tasks in which blocks meet.
+BATCH, MOST_PARTS = "4", 256
+
+
+def _met(scratch: Scratch, blocks: DataFrame, pairs: DataFrame, axes: np.ndarray, p: Params, kind: str) -> DataFrame:
+    """What the pairs of blocks give.  A task reads two parts of the written blocks and compares their
+    pairs: a block meets many others, so moving it to each would write the square of the rows to disk."""
+    lists = scratch.put(pairs.groupBy("a").agg(F.collect_list("b").alias("partners")), "partners")
+    left = blocks.select(F.col("code").alias("_a"), *[F.col(c).alias(f"{c}_a") for c in ("cls", "n", "raw")]).join(bounded_broadcast(lists), F.col("_a") == F.col("a")).drop("_a")
+    right = blocks.select(F.col("code").alias("b"), *[F.col(c).alias(f"{c}_b") for c in ("cls", "n", "raw")])
+    sides = left.join(right.hint("shuffle_replicate_nl"), F.array_contains("partners", F.col("b"))).drop("partners")
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = scratch.spark.conf.get(key, None)
+    scratch.spark.conf.set(key, BATCH)
+    try:
+        return scratch.put(sides.mapInArrow(_meet(axes, p, kind), "u long, v long, n long"), "met")
+    finally:
+        scratch.spark.conf.unset(key) if before is None else scratch.spark.conf.set(key, before)
+
+
 def near_duplicates(vectors: DataFrame, p: Params = Params()) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row of ``vectors`` (vec_id, embedding)."""
     spark = vectors.sparkSession
     ship(spark)
     scratch = Scratch(spark, "vectors")
-    rows = scratch.put(vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
-                       .mapInArrow(_units, "vec_id long, key binary, unit binary"), "rows")
-    classes = scratch.put(rows.where("vec_id is not null and key is not null").groupBy("key").agg(
-        F.min("vec_id").alias("cls"), F.count(F.lit(1)).alias("n"), F.min("unit").alias("unit")), "classes")
-    total, width = classes.agg(F.count(F.lit(1)), F.max(F.octet_length("unit") / 8)).first()
+    kind, of = ("<f4", "array<float>") if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else ("<f8", "array<double>")
+    units = vectors.select("vec_id", F.col("embedding").cast(of).alias("embedding")).mapInArrow(_units(kind), "vec_id long, key binary, raw binary")
+    rows = scratch.put(units.select("vec_id", "key"), "rows")
+    classes = scratch.put(units.where("vec_id is not null and key is not null").groupBy("key").agg(
+        F.min("vec_id").alias("cls"), F.count(F.lit(1)).alias("n"), F.min("raw").alias("raw")), "classes")
+    names = scratch.put(classes.select("key", "cls", "n"), "names")
+    scratch.release()
+    total, width = classes.agg(F.count(F.lit(1)), F.max(F.octet_length("raw") / np.dtype(kind).itemsize)).first()
     counts = edges = None
     if total:
-        axes = principal_axes(classes, int(width))
-        cells = classes.mapInArrow(_cells(axes, p), "key binary, cls long, n long, unit binary, cells array<int>")
-        ordered = cells.repartitionByRange(max(1, total // (4 * p.block_rows)), "cells", "key").sortWithinPartitions("cells", "key")
-        runs = scratch.put(ordered.mapInArrow(_blocks(axes, p), "cls long, n long, unit binary, part long, chunk long, lo array<double>, hi array<double>"), "runs")
-        parts, chunks, n_runs = runs.where("lo is not null").agg(F.max("part") + 1, F.max("chunk") + 1, F.count(F.lit(1))).first()
+        axes = principal_axes(classes, int(width), kind)
+        cells = classes.mapInArrow(_cells(axes, p, kind), "key binary, cls long, n long, raw binary, cells array<int>")
+        ordered = cells.repartitionByRange(max(1, min(MOST_PARTS, total // (4 * p.block_rows))), "cells", "key").sortWithinPartitions("cells", "key")
+        blocks = scratch.put(ordered.mapInArrow(_blocks(axes, p, kind), "part long, chunk long, cls array<long>, n array<long>, raw array<binary>, lo array<double>, hi array<double>"), "blocks")
+        scratch.drop("classes")
+        scratch.release()
+        parts, chunks = blocks.agg(F.max("part") + 1, F.max("chunk") + 1).first()
         chunk_bits = int(chunks - 1).bit_length()
-        merge = max(0, int(p.block_rows * n_runs / total).bit_length() - 1)       # 2 ** merge runs are a block
-        runs = runs.withColumn("code", F.shiftright(F.shiftleft("part", chunk_bits) + F.col("chunk"), merge))
-        bits = max(1, int((int(parts) << chunk_bits) - 1).bit_length() - merge)
-        pairs = _interval_pairs(scratch, runs.where("lo is not null"), bits, p)
-        member = runs.select("code", "part", "chunk", "cls", "n", "unit")
-        sides = (pairs.join(member, pairs.a == member.code).select("a", "b", F.lit(0).alias("side"), "part", "chunk", "cls", "n", "unit")
-                 .unionByName(pairs.where("a <> b").join(member, pairs.b == member.code).select("a", "b", F.lit(1).alias("side"), "part", "chunk", "cls", "n", "unit")))
-        met = scratch.put(sides.groupBy("a", "b").applyInPandas(_meet(axes, p), "u long, v long, n long"), "met")
+        blocks = blocks.withColumn("code", F.shiftleft("part", chunk_bits) + F.col("chunk"))
+        pairs = _interval_pairs(scratch, blocks.select("code", "lo", "hi"), max(1, int((int(parts) << chunk_bits) - 1).bit_length()), p)
+        met = _met(scratch, blocks, pairs, axes, p, kind)
+        scratch.drop("blocks")
         counts = met.where("v is null").groupBy("u").agg(F.sum("n").alias("links"))
         edges = components(scratch, met.where("v is not null").select("u", "v"))
     else:
         counts = spark.createDataFrame([], "u long, links long")
         edges = spark.createDataFrame([], "node long, component long")
-    of_class = (classes.select("key", "cls", "n").join(counts, F.col("cls") == F.col("u"), "left").join(edges, F.col("cls") == F.col("node"), "left")
+    of_class = (names.join(counts, F.col("cls") == F.col("u"), "left").join(edges, F.col("cls") == F.col("node"), "left")
                 .select("key", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "cls").alias("component")))
     alone = F.col("vec_id").isNull()
     out = rows.select("vec_id", "key").join(of_class, "key", "left")

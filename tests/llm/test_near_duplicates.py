@@ -198,6 +198,20 @@ def test_distant_blocks_are_skipped(spark):
     assert all(r.n_links == 49 and r.component_id == r.vec_id % 8 for r in got)
 
 
+def test_blocks_are_not_moved_to_each_of_their_pairs(spark, monkeypatch):
+    """Every pair of blocks meets, and what is written and shuffled stays near the size of the rows."""
+    rnd = np.random.default_rng(9)
+    x = rnd.normal(size=(640, 32)).astype(np.float32)
+    x[600:] = x[:40] + rnd.normal(size=(40, 32)).astype(np.float32) * 0.01
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(4)
+    plans, put = [], Scratch.put
+    monkeypatch.setattr(Scratch, "put", lambda self, d, name: plans.append((name, d._jdf.queryExecution().executedPlan().toString())) or put(self, d, name))
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vec.near_duplicates(df, vec.Params(block_rows=32)).collect()}
+    assert got == {i: (int(i < 40 or i >= 600), i - 600 if i >= 600 else i) for i in range(640)}
+    met = dict(plans)["met"]
+    assert "CartesianProduct" in met and "Exchange hashpartitioning" not in met
+
+
 def test_vector_edge_tables(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert vec.near_duplicates(empty).collect() == []
