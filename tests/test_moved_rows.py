@@ -82,6 +82,13 @@ def test_users_and_seminars_of_the_windowed_rows_are_not_broadcast(spark):
     assert "salon_id#" not in scans and "part.parquet" not in scans
 
 
+def test_sheet_rows_of_wide_events_meet_written_participants(spark):
+    """Discount, payments and memberships move narrow rows, whose shuffle files are gone when the wide events come."""
+    d = domain(spark, SF_SMALL)
+    for rows in (reports.kpi_rows, reports.kpi_brand_rows):
+        assert "l_orderkey" not in _plan(rows.__wrapped__(d)), rows
+
+
 def test_lookups_by_event_hold_only_what_events_name(spark):
     d = domain(spark, SF_SMALL)
     named = d.seminar_events.select("seminar_id").distinct()
