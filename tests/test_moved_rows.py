@@ -89,6 +89,17 @@ def test_sheet_rows_of_wide_events_meet_written_participants(spark):
         assert "l_orderkey" not in _plan(rows.__wrapped__(d)), rows
 
 
+def test_shuffle_files_of_written_legacy_rows_are_released(spark, monkeypatch):
+    from kpistar.operators import materialize as written
+    from kpistar.sources.legacy import LegacyDomain
+    released = []
+    monkeypatch.setattr(written, "release", released.append, raising=False)
+    ld = LegacyDomain.from_sf(spark, SF_SMALL)
+    legacy.legacy_rows(ld)
+    legacy.legacy_rows(ld)
+    assert released == [spark]
+
+
 def test_lookups_by_event_hold_only_what_events_name(spark):
     d = domain(spark, SF_SMALL)
     named = d.seminar_events.select("seminar_id").distinct()
